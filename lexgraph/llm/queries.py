@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, toxicity
+from . import mixing, quality, secrets, toxicity
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted", "restored")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed stream over all documents: as many tokens as there are, at 0.98 of the greatest entropy."""
+    return mixing.mix(table(spark, sf_dir, "documents"), budget=1.0, entropy=0.98, max_epochs=4.0).select("doc_id", "source", "n_tokens", "epoch")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
+    "op4_mixing": op4_mixing,
     "op8_secrets": op8_secrets,
 }
 SQL: dict[str, str] = {}

@@ -159,7 +159,7 @@ class Model:
             readings = channel.decode(word)
             if not readings:
                 return "", 0.0
-            return max(((r, weight(r)) for r in readings), key=lambda x: x[1])
+            return max(((r, lexicon.get(r, 0.0)) for r in readings), key=lambda x: x[1])
 
         def evidence(text: str) -> tuple[list[float], list[str]]:
             bag = tokens(text)
@@ -261,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
                 ra, rb = (r.a + 0.1) / whole.a, (r.b + 0.5) / whole.b
                 e = (r.a + r.b) / (whole.a + whole.b)
                 g = 2 * (r.a * np.log(r.a / (whole.a * e)) + (r.b * np.log(r.b / (whole.b * e)) if r.b else 0))
-                if ra > 3 * rb and g > 40:
+                if ra > 4 * rb and g > 60:
                     ranked.append((-g, r.cue, float(min(np.log(ra / rb), 6.0))))
         lexicon = {c: w for _, c, w in sorted(ranked)[:LEXICON]}
     raw = Model(counts, lexicon, np.zeros(4))
