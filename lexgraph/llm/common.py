@@ -194,3 +194,16 @@ def map_texts(docs: DataFrame, fn, schema: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def keep_rows(docs: DataFrame, fn) -> DataFrame:
+    """The rows of docs, all columns, for which fn(record batch with doc_id and text) gives True; no shuffle."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(fn(part), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

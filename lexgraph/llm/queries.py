@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, secrets, toxicity
+from . import decontaminate, mixing, quality, secrets, toxicity
 from .common import table
 
 
@@ -13,6 +13,11 @@ def _remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlap of a document with a benchmark item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(_remainder(3) != 1), "quality")
@@ -37,6 +42,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
