@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, secrets, toxicity
+from . import decontaminate, minhash, mixing, quality, secrets, toxicity
 from .common import table
 
 
@@ -41,11 +41,16 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op8_secrets": op8_secrets,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 SQL: dict[str, str] = {}
