@@ -207,3 +207,11 @@ def keep_rows(docs: DataFrame, fn) -> DataFrame:
                 yield part.filter(pa.array(fn(part), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def one_per_id(docs: DataFrame) -> DataFrame:
+    """doc_id and text, one row per doc_id that is not null: of rows that repeat an id, the smallest text that is not
+    null counts. The shuffle this takes is only paid where an id does occur twice."""
+    own = docs.where("doc_id is not null").select("doc_id", "text")
+    repeated = own.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return own.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else own

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _U, components, durable, map_texts, mix, ngrams, slices, text_buffers, word_hashes
+from .common import _U, components, durable, map_texts, mix, ngrams, one_per_id, slices, text_buffers, word_hashes
 
 #: Registers, registers per band, base and rate of the exponential spacing, largest register value.
 M, ROWS, BASE, RATE, TOP = 128, 4, 1.1, 20.0, 254
@@ -149,7 +149,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     own = docs.where("doc_id is not null").select("doc_id", "text")
     sketch = durable(sketches(own, k))
     classes = durable(sketch.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")))
-    texts = own.dropDuplicates(["doc_id"]) if _repeats(own) else own
+    texts = one_per_id(own)
     band = F.explode(F.sequence(F.lit(0), F.lit(M // ROWS - 1)))
     keyed = classes.select("rep", "regs", band.alias("band")).select("rep", F.xxhash64("band", F.expr(f"substring(regs, band * {ROWS} + 1, {ROWS})")).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
@@ -181,8 +181,3 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(of, ["h1", "h2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
-
-
-def _repeats(docs: DataFrame) -> bool:
-    """Whether a doc_id occurs twice (then texts are reduced to one per doc_id before they are joined)."""
-    return bool(docs.groupBy("doc_id").count().where("count > 1").limit(1).count())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, mixing, quality, secrets, toxicity
+from . import decontaminate, minhash, mixing, quality, repeats, secrets, toxicity
 from .common import table
 
 
@@ -37,6 +37,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), budget=1.0, entropy=0.98, max_epochs=4.0).select("doc_id", "source", "n_tokens", "epoch")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_repeats": op5_repeats,
     "op8_secrets": op8_secrets,
     "op10_near_duplicates": op10_near_duplicates,
 }

@@ -30,8 +30,9 @@ LEET = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou", "#": "h",
 }
 _SIGNS = "".join(LEET)
-_ODD = re.compile(rf"\S*(?:[A-Za-z][{re.escape(_SIGNS)}]|[{re.escape(_SIGNS)}][A-Za-z]|([A-Za-z])\1\1)\S*", re.I)
-_SPACED = re.compile(r"(?<!\S)\S(?:([ .\-_*])\S)(?:\1\S){2,}(?!\S)")
+_ODD = re.compile(rf"[a-z][{re.escape(_SIGNS)}]|[{re.escape(_SIGNS)}][a-z]|([a-z])\1\1")
+_DOTTED = re.compile(r"[^\W_]([.\-_*])[^\W_](?:\1[^\W_]){2,}")
+_SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _EDGE = ".,;:?!\"'()[]{}|&%$#*<>«»¿¡-_"
 _SOFT = re.compile("[­​-‍⁠﻿]")
 
@@ -112,23 +113,22 @@ class Channel:
         return [x for _, x in sorted(((s + self.log_p[a][b][0], text) for s, text, a, b in beams), reverse=True)[:k] if x]
 
 
-def odd_words(text: str) -> list[str]:
-    """Lower-cased words of a text that may hide another word, spaced-out ones joined."""
-    out = []
-    for m in _SPACED.finditer(text):
-        sep = m[1]
-        joined = m[0].replace(sep, "")
-        if 3 < len(joined) <= LONGEST:
-            out.append(joined.lower())
-    for m in _ODD.finditer(text):
-        word = m[0].strip(".,;:?\"'()[]{}").lower()
-        if 3 <= len(word) <= LONGEST and not word.isalpha() or _long_run(word):
-            out.append(word)
-    return out
+def hidden(token: str) -> list[str]:
+    """Lower-cased words a token may hide, for the decoder: signs among letters, stretched or dotted letters."""
+    if len(token) > 2 * LONGEST:
+        return []
+    if m := _DOTTED.search(token):
+        return [m[0].replace(m[1], "")]
+    if not _ODD.search(token):
+        return []
+    words = dict.fromkeys((token.strip(_EDGE), token.strip(".,;:?\"'()[]{}")))
+    return [w for w in words if 3 <= len(w) <= LONGEST]
 
 
-def _long_run(word: str) -> bool:
-    return len(word) <= LONGEST and any(word[i] == word[i + 1] == word[i + 2] for i in range(len(word) - 2))
+def spaced(text: str) -> list[str]:
+    """Lower-cased words whose letters stand apart."""
+    words = (m[0].replace(" ", "").lower() for m in _SPACED.finditer(text))
+    return [w for w in words if len(w) <= LONGEST]
 
 
 def cues(word: str) -> list[str]:
@@ -149,34 +149,42 @@ class Model:
     def scorer(self):
         channel, lexicon = Channel(self.counts), self.lexicon
 
-        @lru_cache(maxsize=200_000)
-        def weight(token: str) -> float:
+        @lru_cache(maxsize=300_000)
+        def weight(token: str) -> tuple[float, str]:
+            """Weight of a token as it stands, else as restored (with the reading)."""
             word = token.strip(_EDGE)
-            return max((lexicon.get(c, 0.0) for c in cues(word)), default=0.0) if word else 0.0
+            if not word:
+                return 0.0, ""
+            w = max(lexicon.get(c, 0.0) for c in cues(word))
+            if not w and (odd := hidden(token)):
+                return max(restored(x) for x in odd)
+            return w, ""
 
         @lru_cache(maxsize=50_000)
-        def restored(word: str) -> tuple[str, float]:
-            readings = channel.decode(word)
-            if not readings:
-                return "", 0.0
-            return max(((r, lexicon.get(r, 0.0)) for r in readings), key=lambda x: x[1])
+        def restored(word: str) -> tuple[float, str]:
+            return max(((lexicon.get(r, 0.0), r) for r in channel.decode(word)), default=(0.0, ""))
 
         def evidence(text: str) -> tuple[list[float], list[str]]:
             bag = tokens(text)
             n = sum(bag.values())
             total = hits = 0.0
+            back = []
+            singles = 0
             for token, k in bag.items():
-                if w := weight(token):
+                if len(token) == 1:
+                    singles += k
+                w, reading = weight(token)
+                if w:
                     total += w * k
                     hits += k
-            back = []
-            for word in odd_words(_SOFT.sub("", text)):
-                if not weight(word):
-                    reading, w = restored(word)
-                    if w:
-                        total += w
-                        hits += 1
-                        back.append(f"{word}={reading}")
+                    if reading:
+                        back.append(f"{token}={reading}")
+            for word in spaced(text) if singles > 3 else ():
+                w, reading = restored(word)
+                if w:
+                    total += w
+                    hits += 1
+                    back.append(f"{word}={reading}")
             return describe(total, hits, n), back
 
         return evidence
