@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,19 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cuts the lineage through a columnar table in the shared checkpoint folder, removed when the driver ends."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="lexgraph-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/lexgraph-{uuid.uuid4().hex}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(path.toString())
+    return spark.read.schema(df.schema).parquet(path.toString())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (node, component) with the smallest node as component.
 

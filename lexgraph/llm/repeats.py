@@ -18,10 +18,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _U, _powers, _P, _P_INV, durable, mix, slices, text_buffers
+from .common import _U, _powers, _P, _P_INV, mix, slices, stored, text_buffers
 
 LENGTH = 200
-K = 24
+K = 48
 #: Bytes of segment text that one chunk holds on average.
 CHUNK = 1 << 20
 
@@ -45,19 +45,25 @@ def _gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def _sliding_argmin(x: np.ndarray, w: int) -> np.ndarray:
-    """Position of the least value (leftmost on ties) in every run of w values, by doubling."""
-    n = len(x) - w + 1
-    pos = np.arange(len(x))
-    best, at, span = x, pos, 1
-    while span < w:
-        step = min(span, w - span)
-        a, b = best[: len(best) - step], best[step:]
-        take = b < a
-        at = np.where(take, at[step:], at[: len(at) - step])
-        best = np.where(take, b, a)
-        span += step
-    return at[:n]
+_PLACE = 20  # bits of a packed position
+
+
+def _sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
+    """Position of the least hash (by its high bits, leftmost on ties) in every run of w, by doubling of packed keys."""
+    n = len(h) - w + 1
+    out = np.empty(max(n, 0), dtype=np.int64)
+    piece = (1 << _PLACE) - w
+    mask = _U((1 << _PLACE) - 1)
+    for i in range(0, n, piece):
+        m = min(piece, n - i)
+        best = (h[i: i + m + w - 1] & ~mask) | np.arange(m + w - 1, dtype=_U)
+        span = 1
+        while span < w:
+            step = min(span, w - span)
+            best = np.minimum(best[:-step], best[step:])
+            span += step
+        out[i: i + m] = (best & mask).astype(np.int64) + i
+    return out
 
 
 def segments(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -75,52 +81,68 @@ def segments(data: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndar
 # ---------------------------------------------------------------- the transform and its expansion
 
 
+_PACKED = 7  # symbols under 2**9 in one 64-bit key
+
+
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by at least their first `depth` symbols (doubling over packed symbols), ties by position."""
+    """Suffixes sorted by at least their first `depth` symbols (ties in any order), and the places where the order of
+    the first _PACKED symbols changes. Doubling; only suffixes that still share their rank are sorted again."""
     n = len(text)
-    width = 4  # symbols under 2**15 in one 64-bit key
-    padded = np.concatenate([text.astype(_U), np.zeros(width, _U)])
-    key = np.zeros(n, _U)
-    for i in range(width):
-        key = (key << _U(15)) | padded[i: i + n]
-    order = np.argsort(key, kind="stable")
+    padded = np.concatenate([text.astype(np.int64), np.zeros(_PACKED, np.int64)])
+    key = np.zeros(n, np.int64)
+    for i in range(_PACKED):
+        key = (key << 9) | padded[i: i + n]
+    order = np.argsort(key)
     rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.cumsum(np.concatenate([[0], key[order][1:] != key[order][:-1]]))
-    span = width
-    while span < depth and rank[order[-1]] < n - 1:
-        second = np.zeros(n, dtype=np.int64)
-        second[: n - span] = rank[span:] + 1
-        key2 = rank * (n + 1) + second
-        # only suffixes that still share their rank move
-        order = np.argsort(key2, kind="stable")
-        s = key2[order]
-        rank[order] = np.cumsum(np.concatenate([[0], s[1:] != s[:-1]]))
+    s = key[order]
+    start = first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    size = np.diff(np.append(first, n))
+    rank[order] = np.repeat(first, size)  # the place of the first suffix of a tie
+    at = np.flatnonzero(np.repeat(size, size) > 1)  # places in ties
+    span = _PACKED
+    while span < depth and len(at):
+        own = order[at]
+        second = np.zeros(len(own), dtype=np.int64)
+        inside = own + span < n
+        second[inside] = rank[own[inside] + span] + 1
+        key = rank[own] * (n + 1) + second
+        o = np.argsort(key)
+        key = key[o]
+        order[at] = own[o]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(first, len(key)))
+        rank[order[at]] = np.repeat(at[first], size)
+        at = at[np.repeat(size, size) > 1]
         span *= 2
-    return order, rank
+    return order, start
 
 
 def common_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix order, joined): joined[i] says that suffixes i-1 and i of the order share at least `length` symbols.
 
     Intervals of the transform are extended backwards level by level. An interval of a string w found at level |w| sets
-    the boundary after it, if none has, to the value |w| of the common prefix there; the boundaries still unset after
-    level length - 1 have a common prefix of at least `length`.
+    the boundary after it, if none has, to the value |w| - 1 of the common prefix there; boundaries still unset after
+    level `length` have a common prefix of at least `length`. The sort already separates the intervals of all strings of
+    _PACKED symbols, so the search starts at that level.
     """
     n = len(text)
-    order, _ = suffix_order(text, length)
+    order, start = suffix_order(text, length)
     before = text[order - 1]  # the transform; position 0 takes the last symbol
-    by_symbol = np.argsort(before, kind="stable")
-    lf = np.empty(n, dtype=np.int64)
-    lf[by_symbol] = np.arange(n)
+    by_symbol = np.argsort(before.astype(np.uint16), kind="stable").astype(np.int32)
+    lf = np.empty(n, dtype=np.int32)
+    lf[by_symbol] = np.arange(n, dtype=np.int32)
     # neighbours with the same symbol in the transform
-    nxt, prv = np.full(n, n), np.full(n, -1)
+    nxt, prv = np.full(n, n, np.int32), np.full(n, -1, np.int32)
     same = before[by_symbol][1:] == before[by_symbol][:-1]
     nxt[by_symbol[:-1][same]] = by_symbol[1:][same]
     prv[by_symbol[1:][same]] = by_symbol[:-1][same]
     unset = np.ones(n + 1, dtype=bool)
-    unset[n] = True
-    lo, hi = np.array([0]), np.array([n - 1])
-    for _ in range(length):
+    if length >= _PACKED:
+        level, lo, hi = _PACKED, start.astype(np.int32), (np.append(start[1:], n) - 1).astype(np.int32)
+        unset[hi + 1] = False
+    else:
+        level, lo, hi = 0, np.array([0], np.int32), np.array([n - 1], np.int32)
+    for _ in range(level, length):
         if not len(lo):
             break
         # single suffixes step by themselves, larger intervals by their last and first of every symbol
@@ -130,12 +152,12 @@ def common_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
         if len(big_lo):
             size = big_hi - big_lo + 1
             owner = np.repeat(np.arange(len(size)), size)
-            i = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + big_lo[owner]
-            last, first = nxt[i] > big_hi[owner], prv[i] < big_lo[owner]
+            i = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - big_lo, size)
+            last, first = nxt[i] > np.repeat(big_hi, size), prv[i] < np.repeat(big_lo, size)
             a, b = lf[i[first]], lf[i[last]]
             # within an owner both lists hold one entry per symbol; the step keeps symbols apart and in order
-            ka = np.argsort(owner[first] * n + a, kind="stable")
-            kb = np.argsort(owner[last] * n + b, kind="stable")
+            ka = np.argsort(owner[first] * n + a)
+            kb = np.argsort(owner[last] * n + b)
             new_lo, new_hi = np.concatenate([new_lo, a[ka]]), np.concatenate([new_hi, b[kb]])
         fresh = unset[new_hi + 1]
         lo, hi = new_lo[fresh], new_hi[fresh]
@@ -246,14 +268,14 @@ def _chunk(length: int):
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K, chunk: int = CHUNK) -> DataFrame:
     """doc_id, a, b: byte ranges [a, b) that repeated windows cover (they may overlap); docs: one row per doc_id."""
-    found = _segments(docs, length, k)
+    found = stored(_segments(docs, length, k))
     contents = found.groupBy("m", "s").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at", "n")).alias("r"))
-    contents = durable(contents.select("m", "s", "copies", "r.doc_id", "r.at", "r.n"))
+    contents = stored(contents.select("m", "s", "copies", "r.doc_id", "r.at", "r.n"))
     same = found.join(contents.where("copies > 1").select("m", "s"), ["m", "s"], "left_semi")
     same = same.select("doc_id", F.col("at").alias("a"), (F.col("at") + F.col("n") + length - 1).alias("b"))
     groups = contents.groupBy("m").agg(F.count("*").alias("d"), F.sum(F.col("n") + length).alias("size")).where("d > 1")
     groups = groups.select("m", F.ceil(F.col("size") / (2 * chunk)).cast("int").alias("split"), "size")
-    picked = durable(contents.join(groups, "m").select("m", "s", "copies", "doc_id", "at", "n", "split"))
+    picked = stored(contents.join(groups, "m").select("m", "s", "copies", "doc_id", "at", "n", "split"))
     total = picked.where("split = 1").agg(F.coalesce(F.sum(F.col("n") + length), F.lit(0)).alias("x")).first().x
     n_chunks = int(total // chunk) + 1
     of = F.when(F.col("split") == 1, F.pmod(F.col("m"), F.lit(n_chunks))).otherwise(F.xxhash64("m", F.pmod("s", F.col("split"))) .bitwiseOR(F.lit(-(1 << 63))))
@@ -274,7 +296,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K, chunk: in
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(c, kinds, strict=True)], ["chunk", "doc_id", "at", "copies", "split", "bytes"])
 
     pieces = texts.mapInArrow(cut, "chunk bigint, doc_id bigint, at bigint, copies bigint, split int, bytes binary")
-    searched = durable(pieces.groupBy("chunk").applyInArrow(_chunk(length), _FOUND))
+    # one exchange that all three uses below share, so the chunks are searched once
+    searched = pieces.groupBy("chunk").applyInArrow(_chunk(length), _FOUND).repartition("doc_id")
     inside = searched.where("h1 is null").select("doc_id", "a", "b")
     open_ = searched.where("h1 is not null")
     twice = open_.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.max("b").alias("need")).where("c > 1 and need = 1").select("h1", "h2")
