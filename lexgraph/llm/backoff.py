@@ -19,18 +19,20 @@ from .common import _U, mix, ngrams, one_per_id, slices, text_buffers, word_hash
 ORDER = 3
 ALPHA = 0.4
 #: Text bytes of a block on average.
-BLOCK = 12 << 20
-#: Bits of an n-gram's hash that are kept; the high ones choose the partition.
-BITS = 56
+BLOCK = 8 << 20
 
 
-def grams(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def hash_bits(n_bytes: int) -> int:
+    """Bits of an n-gram's hash that are kept: so many more than the corpus has bytes that chance meetings stay rare."""
+    return min(64, max(44, n_bytes.bit_length() + 22))
+
+
+def grams(h: np.ndarray, first: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of the n-gram that ends at each word, whether it lies inside its document)."""
     out = np.zeros(len(h), dtype=_U)
     if len(h) >= n:
-        out[n - 1:] = (h if n == 1 else ngrams(h, n)) >> _U(64 - BITS)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    return out, np.arange(len(h)) - first[doc] >= n - 1
+        out[n - 1:] = (h if n == 1 else ngrams(h, n)) >> _U(64 - bits)
+    return out, np.arange(len(h)) - np.repeat(first[:-1], np.diff(first)) >= n - 1
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -48,11 +50,13 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 def pack_counts(x: np.ndarray) -> bytes:
-    return zlib.compress(x.astype(np.uint32).tobytes(), 1)
+    """Counts by byte planes, of which the high ones are mostly zero."""
+    return zlib.compress(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def unpack_counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64)
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
 
 
 def _block_words(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -67,12 +71,20 @@ def _block_words(texts) -> tuple[np.ndarray, np.ndarray]:
     return h, np.concatenate([[0], np.cumsum(n)])
 
 
-def _distinct(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    g, ok = grams(h, first, n)
-    return np.unique(g[ok], return_counts=True)
+def _distinct(g: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams, their counts, and which of them ends at each word (0 where none does)."""
+    at = np.flatnonzero(ok)
+    own = g[at]
+    order = np.argsort(own)
+    s = own[order]
+    start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(s)))
+    which = np.zeros(len(g), dtype=np.int64)
+    which[at[order]] = np.repeat(np.arange(len(start)), size)
+    return s[start], size, which
 
 
-def _send(order: int, parts: int):
+def _send(order: int, parts: int, bits: int):
     """A block's distinct n-grams with counts, a row per order and partition."""
 
     def run(table):
@@ -82,8 +94,8 @@ def _send(order: int, parts: int):
         block = table.column("block")[0].as_py()
         rows = []
         for n in range(1, order + 1):
-            g, c = _distinct(h, first, n)
-            cut = np.searchsorted(g, _edges(parts))
+            g, c, _ = _distinct(*grams(h, first, n, bits))
+            cut = np.append(np.searchsorted(g, _edges(parts, bits)), len(g))
             rows += [(n * parts + p, block, pack(g[a:b]), pack_counts(c[a:b])) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
         columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
         return pa.Table.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())], ["part", "block", "grams", "counts"])
@@ -91,10 +103,9 @@ def _send(order: int, parts: int):
     return run
 
 
-def _edges(parts: int) -> np.ndarray:
-    """Borders of the hash ranges, the outer ones open."""
-    inner = [(p << BITS) // parts for p in range(1, parts)]
-    return np.array([0, *inner, (1 << BITS)], dtype=_U)
+def _edges(parts: int, bits: int) -> np.ndarray:
+    """Lower borders of the hash ranges."""
+    return np.array([(p << bits) // parts for p in range(parts)], dtype=_U)
 
 
 def _count(table):
@@ -115,38 +126,39 @@ def _count(table):
     return pa.Table.from_arrays([table.column("block").cast(pa.int64()).combine_chunks(), table.column("part").combine_chunks(), pa.array(back, pa.binary())], ["block", "part", "total"])
 
 
-def document_scores(h: np.ndarray, first: np.ndarray, totals: dict[int, tuple[np.ndarray, np.ndarray]], n_words: int, order: int, alpha: float) -> np.ndarray:
-    """Sum of log scores per document; totals: per n the sorted distinct n-grams of the block and their corpus counts.
+def document_scores(h: np.ndarray, first: np.ndarray, totals, n_words: int, order: int, alpha: float, bits: int) -> np.ndarray:
+    """Sum of log scores per document; totals(n): corpus counts of the block's sorted distinct n-grams.
 
     S(w | c) = f(c w) / f(c) if the n-gram occurs in other documents, else alpha S(w | shorter c); the last resort is
     add-one over the words of the others. Counts f leave out the document itself.
     """
-    docs = np.repeat(np.arange(len(first) - 1), np.diff(first))
     size = np.diff(first)
-    f, rest = [], []
-    for n in range(1, order + 1):
-        g, ok = grams(h, first, n)
-        keys, total = totals[n]
-        at = np.minimum(np.searchsorted(keys, g), max(len(keys) - 1, 0))
-        whole = np.where(ok, total[at], 0) if len(keys) else np.zeros(len(h), np.int64)
-        # how often each n-gram occurs in its own document
-        pair = np.lexsort((at, docs))
-        d, k = docs[pair], at[pair]
-        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (k[1:] != k[:-1])])) if len(pair) else np.zeros(0, np.int64)
-        inside = np.add.reduceat(ok[pair].astype(np.int64), new) if len(new) else np.zeros(0, np.int64)
-        own = np.empty(len(h), np.int64)
-        own[pair] = np.repeat(inside, np.diff(np.append(new, len(pair))))
-        f.append(np.where(ok, whole - own, 0))
-    # a context that ends before word i is the (n-1)-gram that ends at word i-1
-    score = np.log((f[0] + 1) / (n_words - size[docs] + n_words)) if len(h) else np.zeros(0)
+    docs = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(h)) - first[docs]
+    others = n_words - size[docs]
+    score = np.zeros(len(h))
+    shorter = others
     for n in range(1, order + 1):
-        context = np.concatenate([[0], f[n - 2][:-1]]) if n > 1 else (n_words - size)[docs]
-        seen = (f[n - 1] > 0) & (context > 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            direct = np.log(f[n - 1] / context)
-        deeper = score + np.log(alpha) if n > 1 else score
-        possible = np.arange(len(h)) - first[docs] >= n - 1
-        score = np.where(seen, direct, np.where(possible, deeper, score))
+        g, ok = grams(h, first, n, bits)
+        keys, _, which = _distinct(g, ok)
+        f = np.where(ok, totals(n)[which], 0) if len(keys) else np.zeros(len(h), np.int64)
+        # less how often each n-gram occurs in its own document
+        key = docs * max(len(keys), 1) + which
+        key[~ok] = -1
+        by = np.argsort(key)
+        s = key[by]
+        start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+        own = np.diff(np.append(start, len(s)))
+        f[by] -= np.where(s < 0, 0, np.repeat(own, own))
+        if n == 1:
+            score = np.log(np.where(f > 0, f, (f + 1)) / np.where(f > 0, others, others + n_words)) if len(h) else score
+        else:
+            # the context that ends before word i is the (n-1)-gram that ends at word i-1
+            context = np.concatenate([[0], shorter[:-1]]) if len(h) else shorter
+            seen = (f > 0) & (context > 0)
+            direct = np.log(np.where(seen, f, 1) / np.where(seen, context, 1))
+            score = np.where(seen, direct, score + np.where(place >= n - 1, np.log(alpha), 0.0))
+        shorter = f
     return np.bincount(docs, weights=score, minlength=len(size))
 
 
@@ -160,9 +172,9 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block: int
     own = one_per_id(docs)
     size = own.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     n_blocks = int(size.b // block) + 1
-    parts = max(4, n_blocks)
+    parts, bits = max(4, n_blocks), hash_bits(int(size.b))
     dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)))
-    sent = dealt.groupBy("block").applyInArrow(_send(order, parts), "part bigint, block bigint, grams binary, counts binary")
+    sent = dealt.groupBy("block").applyInArrow(_send(order, parts, bits), "part bigint, block bigint, grams binary, counts binary")
     answers = sent.groupBy("part").applyInArrow(_count, "block bigint, part bigint, total binary")
 
     n_words = _total_words(own)
@@ -173,13 +185,12 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block: int
         if not left.num_rows:
             return pa.Table.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], ["doc_id", "n_words", "log_score"])
         h, first = _block_words(left.column("text"))
-        got = sorted(zip(right.column("part").to_pylist(), right.column("total").to_pylist(), strict=True))
-        totals = {}
-        for n in range(1, order + 1):
-            g, _ = _distinct(h, first, n)
-            mine = [unpack_counts(t) for p, t in got if p // parts == n]
-            totals[n] = (g, np.concatenate(mine) if mine else np.zeros(0, np.int64))
-        s = document_scores(h, first, totals, n_words, order, alpha)
+        got = dict(zip(right.column("part").to_pylist(), right.column("total").to_pylist(), strict=True))
+
+        def totals(n: int) -> np.ndarray:
+            return np.concatenate([unpack_counts(got[p]) for p in range(n * parts, (n + 1) * parts) if p in got] or [np.zeros(0, np.int64)])
+
+        s = document_scores(h, first, totals, n_words, order, alpha, bits)
         return pa.Table.from_arrays([left.column("doc_id").combine_chunks(), pa.array(np.diff(first)), pa.array(s)], ["doc_id", "n_words", "log_score"])
 
     out = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, "doc_id bigint, n_words bigint, log_score double")
