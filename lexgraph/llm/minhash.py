@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from .common import _U, components, durable, map_texts, mix, ngrams, one_per_id, slices, text_buffers, word_hashes
 
-#: Registers, registers per band, base and rate of the exponential spacing, largest register value.
-M, ROWS, BASE, RATE, TOP = 128, 4, 1.1, 20.0, 254
-#: A pair goes to verification unless its estimate is this far (about five standard errors) under the threshold.
-SLACK = 0.18
+#: Registers, bands and registers per band, base and rate of the exponential spacing, largest value.
+M, BANDS, ROWS, BASE, RATE, TOP = 256, 32, 4, 1.1, 20.0, 254
+#: A pair goes to verification unless its estimate is this far (four standard errors) under the threshold.
+SLACK = 0.1
+#: Members of a bucket, and documents of a family, that one task compares; more are dealt to pairs of blocks.
+BLOCK = 1024
 
 _ODD = mix(np.arange(1, M + 1, dtype=_U) * _U(0x9FB21C651E98DF25)) | _U(1)
 _ADD = mix(np.arange(1, M + 1, dtype=_U) * _U(0xC6BC279692B5CC83))
@@ -134,6 +136,86 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return full.select("a", "b", "ta", "tb").mapInArrow(rows, "a bigint, b bigint")
 
 
+def _blocks(rows: DataFrame, group: list[str], member: str, block: int) -> DataFrame:
+    """Deals every group's rows to tasks (low, high): a row's own block (side) meets itself and each other block once."""
+    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
+    dealt = rows.join(sizes, group).withColumn("side", F.pmod(F.xxhash64(member), F.col("nb")).cast("int"))
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    return dealt.withColumns({"low": F.least("side", "o"), "high": F.greatest("side", "o")}).drop("o", "nb")
+
+
+def _bucket(least: float):
+    """Pairs of different components in a bucket (or two of its blocks) whose estimate reaches `least`; a pair is given
+    in the first band that it shares only, and pairs with the bucket's pivot have been verified before."""
+
+    def run(table):
+        import pyarrow as pa
+
+        rep, comp, n, side = (table.column(c).to_numpy() for c in ("rep", "c", "n", "side"))
+        regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint8).reshape(-1, M)
+        band, pivot, cross = (table.column(c)[0].as_py() for c in ("band", "pivot", "cross"))
+        words = np.ascontiguousarray(regs[:, : BANDS * ROWS]).view(np.uint32)  # a band in one number
+        order = np.argsort(rep, kind="stable")
+        out_a, out_b = [], []
+        for i in order:
+            if rep[i] == pivot:
+                continue
+            ok = (rep > rep[i]) & (comp != comp[i]) & (rep != pivot) & (n * 100 >= n[i] * 80) & (n[i] * 100 >= n * 80)
+            if cross:
+                ok &= side != side[i]
+            j = np.flatnonzero(ok)
+            j = j[~(words[j, :band] == words[i, :band]).any(axis=1)] if band else j
+            if len(j):
+                e = joint_estimate(np.broadcast_to(regs[i], (len(j), M)), regs[j], np.full(len(j), float(n[i])), n[j].astype(float))
+                j = j[e >= least]
+                out_a.append(np.full(len(j), rep[i]))
+                out_b.append(rep[j])
+        flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
+        a = flat(out_a)
+        return pa.Table.from_arrays([pa.array(np.full(len(a), table.column("family")[0].as_py()), pa.int64()), a, flat(out_b)], ["family", "a", "b"])
+
+    return run
+
+
+def _family(k: int, percent: int):
+    """Verifies a family's pairs between two blocks; every text comes once per pair of blocks, not per pair."""
+
+    def run(key, pairs, texts):
+        import pyarrow as pa
+
+        ids = texts.column("doc_id").to_pylist()
+        sets = dict(zip(ids, text_sets(texts.column("text"), k) if ids else [], strict=True))
+        keep = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+            s, t = sets.get(a), sets.get(b)
+            common = len(np.intersect1d(s, t, assume_unique=True)) if s is not None and t is not None else 0
+            keep.append(common > 0 and 100 * common >= percent * (len(s) + len(t) - common))
+        return pa.Table.from_arrays([pairs.column("a").combine_chunks(), pairs.column("b").combine_chunks()], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _across(shared: DataFrame, label: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int, least: float) -> DataFrame:
+    """Verified pairs among all those that share a bucket and lie in different components."""
+    of = label.select(F.col("node").alias("rep"), "component")
+    placed = shared.join(of, "rep", "left").select("key", "band", "rep", "pivot", F.coalesce("component", "rep").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    placed = durable(placed.join(mixed, "key", "left_semi"))
+    root = placed.where("rep = pivot").select("key", F.col("c").alias("family"))
+    rows = _blocks(placed.join(root, "key"), ["key"], "rep", BLOCK)
+    rows = rows.join(classes.select("rep", "n", "regs"), "rep").withColumn("cross", F.col("low") != F.col("high"))
+    found = durable(rows.groupBy("key", "low", "high").applyInArrow(_bucket(least), "family bigint, a bigint, b bigint"))
+    pairs = found.groupBy("a", "b").agg(F.min("family").alias("family"))
+    sizes = pairs.select("family", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    nb = sizes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
+    block = lambda c: F.pmod(F.xxhash64(c), F.col("nb")).cast("int")
+    dealt = pairs.join(nb, "family").select("family", F.least(block("a"), block("b")).alias("low"), F.greatest(block("a"), block("b")).alias("high"), "a", "b")
+    dealt = durable(dealt)
+    needed = dealt.select("family", "low", "high", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sent = needed.join(texts.select("doc_id", "text"), "doc_id").select(F.col("family").alias("f"), F.col("low").alias("l"), F.col("high").alias("h"), "doc_id", "text")
+    return dealt.groupBy("family", "low", "high").cogroup(sent.groupBy("f", "l", "h")).applyInArrow(_family(k, percent), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs that has a doc_id.
 
@@ -150,8 +232,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     sketch = durable(sketches(own, k))
     classes = durable(sketch.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")))
     texts = one_per_id(own)
-    band = F.explode(F.sequence(F.lit(0), F.lit(M // ROWS - 1)))
-    keyed = classes.select("rep", "regs", band.alias("band")).select("rep", F.xxhash64("band", F.expr(f"substring(regs, band * {ROWS} + 1, {ROWS})")).alias("key"))
+    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
+    keyed = classes.select("rep", "regs", band.alias("band")).select("rep", "band", F.xxhash64("band", F.expr(f"substring(regs, band * {ROWS} + 1, {ROWS})")).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
     shared = durable(keyed.join(groups, "key"))
     pairs = shared.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -169,13 +251,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     rest = named(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"))
     edges = durable(edges.unionByName(_verified(rest, texts, k, percent)))
     label = components(edges)
-    placed = shared.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("key", "rep", "pivot", F.coalesce("component", "rep").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    placed = durable(placed.join(mixed, "key", "left_semi"))
-    x, y = placed.alias("x"), placed.alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.rep") != F.col("x.pivot")) & (F.col("y.rep") != F.col("x.pivot")))
-    cross = cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = _verified(_estimated(cross, classes, least), texts, k, percent)
+    more = _across(shared, label, classes, texts, k, percent, least)
     label = components(edges.unionByName(more))
     of = classes.select("h1", "h2", "rep").join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("c"))
     out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(of, ["h1", "h2"], "left")
