@@ -2,55 +2,152 @@
 
 DataFrame operations only. A line is the set of its lower-cased words; two lines match at Jaccard >= 0.8, and a line
 that matches any earlier one (order: doc_id, line number) is removed. Lines under `least` distinct words are left alone.
+
+1. Equal lines are counted under their first occurrence; the later ones are removed, the first stands for them.
+2. The words of a line are ordered by rarity (frequency class over all texts, then hash). Lines that match share a word
+   of their prefixes; lines are brought together by prefix word. A parity bitmap bounds the difference of two sets.
+3. In every group of a prefix word, a line is compared with two pivots first (the most copied line, the earliest one).
+   Only lines for which no earlier pivot can match are compared with all earlier lines of the group, so that a group of
+   near copies costs as many pairs as it has lines.
+4. Pairs are verified on the full sets. A line whose pivots all fail is then compared with everything in its groups.
 """
 
 from __future__ import annotations
 
 import json
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from .common import durable
+from .common import stored
 
-SIMILARITY = 0.8
+PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
 BUCKETS = 1 << 16
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[ \t\x0B\f\r]+"), lambda w: w != "")
+    return F.split(F.translate(F.lower(line), "\t\x0b\f\r\n", "     "), " ")
 
 
 def rarity(docs: DataFrame) -> list[int]:
     """Quarter-octave frequency class of each hash bucket of words, over all texts; a word's order key starts with it."""
-    word = F.explode(_words(F.translate("text", "\n", " ")))
+    word = F.explode(_words(F.col("text")))
     counts = docs.select(word.alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).count().collect()
     out = [0] * BUCKETS
-    for r in counts:
-        out[r.b] = min(126, int(4 * (r["count"]).bit_length() + 4 * (r["count"] / (1 << (r["count"]).bit_length()))))
+    for b, n in counts:
+        octave = n.bit_length()
+        out[b] = min(126, 4 * octave + int(4 * n / (1 << octave)))
     return out
 
 
-def _ints(values: list[int]) -> Column:
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<int>")
-
-
-def line_sets(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, line_no, n and the line's words as 64-bit keys in order of rarity (frequency class, then hash)."""
-    classes = _ints(rarity(docs))
-    lines = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def _keys(line: Column, classes: Column) -> Column:
+    """Distinct words of a line as 64-bit keys in order of rarity: the class in the high byte, then 56 bits of hash."""
 
     def key(w: Column) -> Column:
         h = F.xxhash64(w)
         return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    keys = F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), key)))
-    return lines.select("doc_id", "line_no", keys.alias("keys")).select("doc_id", "line_no", "keys", F.size("keys").alias("n")).where(F.col("n") >= least)
+    words = F.array_remove(F.array_distinct(_words(line)), "")
+    return F.sort_array(F.transform(words, key))
+
+
+def _parity(keys: Column) -> Column:
+    """64 bits, each the parity of the number of words that hash to it; two sets differ in at least as many words as
+    their bitmaps in bits."""
+    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int"))))
+
+
+def _may_match(a: str, b: str, percent: int) -> str:
+    """Length, positional and bitmap filters of a pair of prefix entries (n words, position p, bitmap m), as SQL."""
+    return (
+        f"{a}n * 100 >= {b}n * {percent} and {b}n * 100 >= {a}n * {percent}"
+        f" and (least({a}p, {b}p) + least({a}n - {a}p, {b}n - {b}p)) * {100 + percent} >= ({a}n + {b}n) * {percent}"
+        f" and bit_count({a}m ^ {b}m) * {100 + percent} <= ({a}n + {b}n) * {100 - percent}"
+    )
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no, line and its 96-bit hash (t, u) of documents that have an id."""
+    out = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return out.select("doc_id", "line_no", "line", F.xxhash64("line").alias("t"), F.hash("line").alias("u"))
+
+
+def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, line_no of every line that matches an earlier one. docs: doc_id (the key) and text.
+
+    Null texts have no lines; rows that repeat a doc_id share their line numbers, so a line removed in one of them is
+    removed in all; lines of one text are compared like lines of different ones.
+    """
+    classes = _ints(rarity(docs))
+    every = lines(docs)
+    distinct = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count("*").alias("copies"), F.first("line").alias("line"))
+    keyed = distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", _keys(F.col("line"), classes).alias("keys"))
+    keyed = keyed.withColumn("n", F.size("keys")).where(F.col("n") >= least)
+    prefix = F.slice("keys", F.lit(1), F.expr(f"cast(n - ceil(n * {percent} / 100 - 1e-9) + 1 as int)"))
+    entries = keyed.withColumn("m", _parity(F.col("keys"))).select("t", "u", "d", "l", "n", "m", F.least("copies", F.lit(1 << 30)).cast("int").alias("c"), F.posexplode(prefix).alias("p", "w"))
+    entries = entries.select("w", "t", "u", "d", "l", "n", "m", "c", "p")
+
+    # pivots of every group: one exchange by word serves the windows and the joins below
+    whole = W.partitionBy("w")
+    me = F.struct("d", "l", "t", "u", "n", "p", "m")
+    grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(F.struct("c", (-F.col("d")).alias("nd"), me.alias("e"))).over(whole), "y": F.min(me).over(whole)})
+    grouped = grouped.where("size > 1").select("w", "t", "u", "d", "l", "n", "m", "p", *(F.col(f"x.e.{c}").alias(f"x{c}") for c in "dltunpm"), *(F.col(f"y.{c}").alias(f"y{c}") for c in "dltunpm"))
+    earlier = lambda a, b: f"({a}d < {b}d or ({a}d = {b}d and {a}l < {b}l))"
+    hit_x, hit_y = (f"({earlier(k, '')} and {_may_match('', k, percent)})" for k in "xy")
+    grouped = grouped.withColumn("pivot", F.expr(f"case when {hit_x} then 1 when {hit_y} then 2 else 0 end"))
+    by_pivot = grouped.where("pivot > 0").select("t", "u", *(F.expr(f"case when pivot = 1 then x{c} else y{c} end").alias(f"o{c}") for c in "tu"))
+    a, b = grouped.where("pivot = 0").select("w", "t", "u", "d", "l", "n", "m", "p").alias("a"), entries.select(*(F.col(c).alias(f"o{c}") for c in ("w", "t", "u", "d", "l", "n", "m", "p"))).alias("b")
+    by_all = a.join(b, F.expr(f"w = ow and {earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou")
+    pairs = stored(by_pivot.withColumn("k", F.lit(1)).unionByName(by_all.withColumn("k", F.lit(0))).groupBy("t", "u", "ot", "ou").agg(F.max("k").alias("k")))
+
+    sets = distinct.select("t", "u", "r", "line")
+    matched = stored(_verified(pairs, sets, percent))
+    # lines with pivots that all failed are compared with all of their groups
+    open_ = pairs.where("k = 1").select("t", "u").distinct().join(matched.select("t", "u"), ["t", "u"], "left_anti")
+    if open_.limit(1).count():
+        again = entries.join(open_, ["t", "u"], "left_semi").alias("a")
+        other = entries.select(*(F.col(c).alias(f"o{c}") for c in ("w", "t", "u", "d", "l", "n", "m", "p"))).alias("b")
+        rest = again.join(other, F.expr(f"w = ow and {earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou").distinct()
+        matched = matched.unionByName(_verified(rest, sets, percent))
+    late = matched.select("d", "l").distinct().select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
+
+    long = F.size(F.array_remove(F.array_distinct(_words(F.col("line"))), "")) >= least
+    again = distinct.where("copies > 1").where(long).select("t", "u", F.col("r").alias("first"))
+    copies = every.select("doc_id", "line_no", "t", "u").join(again, ["t", "u"]).where("doc_id <> first.doc_id or line_no <> first.line_no").select("doc_id", "line_no")
+    return late.unionByName(copies)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (t, u) - earlier (ot, ou) those whose word sets reach the similarity: t, u, d, l of the later line."""
+    words = lambda c: F.array_remove(F.array_distinct(_words(F.col(c))), "")
+    mine = sets.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "line")
+    other = sets.select(F.col("t").alias("ot"), F.col("u").alias("ou"), F.col("line").alias("oline"))
+    full = pairs.select("t", "u", "ot", "ou").join(mine, ["t", "u"]).join(other, ["ot", "ou"])
+    full = full.select("t", "u", "d", "l", words("line").alias("a"), words("oline").alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    return full.where(common * 100 >= (F.size("a") + F.size("b") - common) * percent).select("t", "u", "d", "l")
+
+
+def _ints(values: list[int]) -> Column:
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<int>")
+
+
+def report(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
+    """doc_id, n_lines, n_removed and the removed line numbers (comma-joined, in order), one row per doc_id."""
+    gone = removed_lines(docs, percent, least).distinct().groupBy("doc_id").agg(F.count("*").alias("n_removed"), F.array_join(F.transform(F.array_sort(F.collect_list("line_no")), lambda x: x.cast("string")), ",").alias("removed"))
+    own = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).alias("n"))
+    out = own.join(gone, "doc_id", "left")
+    return out.select("doc_id", F.greatest("n", F.lit(0)).cast("bigint").alias("n_lines"), F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
-def _overlap(n: Column, m: Column, percent: int) -> Column:
-    """Least common words for Jaccard >= percent/100, in integers."""
-    return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+def clean(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
+    """docs with the removed lines taken out of text; all rows and columns stay."""
+    gone = removed_lines(docs, percent, least).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
+    joined = docs.join(gone, docs["doc_id"] == F.col("_id"), "left")
+    parts = F.split("text", "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
+    return joined.withColumn("text", text).select(*docs.columns)

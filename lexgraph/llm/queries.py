@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, decontaminate, embeddings, minhash, mixing, quality, repeats, secrets, toxicity
+from . import backoff, decontaminate, embeddings, lines, minhash, mixing, quality, repeats, secrets, toxicity
 from .common import table
 
 
@@ -42,6 +42,10 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"), percent=80, least=5)
+
+
 def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_repeats": op5_repeats,
+    "op6_lines": op6_lines,
     "op7_embeddings": op7_embeddings,
     "op8_secrets": op8_secrets,
     "op9_backoff": op9_backoff,
