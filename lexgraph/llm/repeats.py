@@ -296,8 +296,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, k: int = K, chunk: in
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(c, kinds, strict=True)], ["chunk", "doc_id", "at", "copies", "split", "bytes"])
 
     pieces = texts.mapInArrow(cut, "chunk bigint, doc_id bigint, at bigint, copies bigint, split int, bytes binary")
-    # one exchange that all three uses below share, so the chunks are searched once
-    searched = pieces.groupBy("chunk").applyInArrow(_chunk(length), _FOUND).repartition("doc_id")
+    searched = pieces.groupBy("chunk").applyInArrow(_chunk(length), _FOUND)
+    if not picked.where("split > 1").limit(1).count():
+        return same.unionByName(searched.select("doc_id", "a", "b"))
+    searched = stored(searched)
     inside = searched.where("h1 is null").select("doc_id", "a", "b")
     open_ = searched.where("h1 is not null")
     twice = open_.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.max("b").alias("need")).where("c > 1 and need = 1").select("h1", "h2")
