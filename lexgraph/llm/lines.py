@@ -29,7 +29,8 @@ BUCKETS = 1 << 16
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.translate(F.lower(line), "\t\x0b\f\r\n", "     "), " ")
+    """Lower-cased words; a leading blank gives one empty word."""
+    return F.split(F.lower(line), "[ \t\x0b\f\r\n]+")
 
 
 def rarity(docs: DataFrame) -> list[int]:
@@ -50,14 +51,13 @@ def _keys(line: Column, classes: Column) -> Column:
         h = F.xxhash64(w)
         return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    words = F.array_remove(F.array_distinct(_words(line)), "")
-    return F.sort_array(F.transform(words, key))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), key)))
 
 
 def _parity(keys: Column) -> Column:
     """64 bits, each the parity of the number of words that hash to it; two sets differ in at least as many words as
     their bitmaps in bits."""
-    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int"))))
+    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _may_match(a: str, b: str, percent: int) -> str:
@@ -85,50 +85,71 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     every = lines(docs)
     distinct = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count("*").alias("copies"), F.first("line").alias("line"))
     keyed = distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", _keys(F.col("line"), classes).alias("keys"))
-    keyed = keyed.withColumn("n", F.size("keys")).where(F.col("n") >= least)
+    keyed = keyed.withColumn("n", F.size("keys")).where(F.col("n") >= least).withColumn("m", _parity(F.col("keys")))
     prefix = F.slice("keys", F.lit(1), F.expr(f"cast(n - ceil(n * {percent} / 100 - 1e-9) + 1 as int)"))
-    entries = keyed.withColumn("m", _parity(F.col("keys"))).select("t", "u", "d", "l", "n", "m", F.least("copies", F.lit(1 << 30)).cast("int").alias("c"), F.posexplode(prefix).alias("p", "w"))
-    entries = entries.select("w", "t", "u", "d", "l", "n", "m", "c", "p")
+    # an entry of the prefix index: word, line (hash, first occurrence), bitmap, and copies, size and position in one number
+    entries = keyed.select("t", "d", "m", F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode(prefix).alias("p", "w"))
+    entries = entries.select("w", "t", "ul", "d", "m", (F.col("cn") + F.col("p")).alias("cnp"))
 
-    # pivots of every group: one exchange by word serves the windows and the joins below
+    # one exchange by word serves the windows and both joins below, for which all sides use all columns
     whole = W.partitionBy("w")
-    me = F.struct("d", "l", "t", "u", "n", "p", "m")
-    grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(F.struct("c", (-F.col("d")).alias("nd"), me.alias("e"))).over(whole), "y": F.min(me).over(whole)})
-    grouped = grouped.where("size > 1").select("w", "t", "u", "d", "l", "n", "m", "p", *(F.col(f"x.e.{c}").alias(f"x{c}") for c in "dltunpm"), *(F.col(f"y.{c}").alias(f"y{c}") for c in "dltunpm"))
-    earlier = lambda a, b: f"({a}d < {b}d or ({a}d = {b}d and {a}l < {b}l))"
-    hit_x, hit_y = (f"({earlier(k, '')} and {_may_match('', k, percent)})" for k in "xy")
+    me = F.struct("d", "ul", "t", "m", "cnp")
+    grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(F.struct((F.shiftright("cnp", 42)).alias("c"), (-F.col("d")).alias("nd"), me.alias("e"))).over(whole), "y": F.min(F.struct("d", F.col("ul").bitwiseAND(F.lit(0xFFFFFFFF)).alias("l"), me.alias("e"))).over(whole)})
+    grouped = grouped.where("size > 1")
+    grouped = _unpacked(grouped, "", "")
+    for k in "xy":
+        grouped = _unpacked(grouped, f"{k}.e.", k)
+    hit_x, hit_y = (f"({_earlier(k, '')} and {_may_match('', k, percent)})" for k in "xy")
     grouped = grouped.withColumn("pivot", F.expr(f"case when {hit_x} then 1 when {hit_y} then 2 else 0 end"))
     by_pivot = grouped.where("pivot > 0").select("t", "u", *(F.expr(f"case when pivot = 1 then x{c} else y{c} end").alias(f"o{c}") for c in "tu"))
-    a, b = grouped.where("pivot = 0").select("w", "t", "u", "d", "l", "n", "m", "p").alias("a"), entries.select(*(F.col(c).alias(f"o{c}") for c in ("w", "t", "u", "d", "l", "n", "m", "p"))).alias("b")
-    by_all = a.join(b, F.expr(f"w = ow and {earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou")
-    pairs = stored(by_pivot.withColumn("k", F.lit(1)).unionByName(by_all.withColumn("k", F.lit(0))).groupBy("t", "u", "ot", "ou").agg(F.max("k").alias("k")))
+    a = grouped.where("pivot = 0").select("w", "t", "u", "d", "l", "n", "m", "p", "c")
+    b = _unpacked(entries.select(*(F.col(c).alias(f"b_{c}") for c in ("w", "t", "ul", "d", "m", "cnp"))), "b_", "o")
+    by_all = a.join(b, F.expr(f"w = b_w and c + oc > 0 and {_earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou")
+    pairs = by_pivot.withColumn("k", F.lit(1)).unionByName(by_all.withColumn("k", F.lit(0))).groupBy("t", "u", "ot", "ou").agg(F.max("k").alias("k"))
+    checked = stored(_compared(pairs, distinct, percent))
+    late = checked.where("ok").select(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).distinct()
 
-    sets = distinct.select("t", "u", "r", "line")
-    matched = stored(_verified(pairs, sets, percent))
     # lines with pivots that all failed are compared with all of their groups
-    open_ = pairs.where("k = 1").select("t", "u").distinct().join(matched.select("t", "u"), ["t", "u"], "left_anti")
+    open_ = checked.groupBy("t", "u").agg(F.max("k").alias("k"), F.max("ok").alias("ok")).where("k = 1 and not ok").select(F.col("t").alias("_t"), F.col("u").alias("_u"))
     if open_.limit(1).count():
-        again = entries.join(open_, ["t", "u"], "left_semi").alias("a")
-        other = entries.select(*(F.col(c).alias(f"o{c}") for c in ("w", "t", "u", "d", "l", "n", "m", "p"))).alias("b")
-        rest = again.join(other, F.expr(f"w = ow and {earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou").distinct()
-        matched = matched.unionByName(_verified(rest, sets, percent))
-    late = matched.select("d", "l").distinct().select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
-
-    long = F.size(F.array_remove(F.array_distinct(_words(F.col("line"))), "")) >= least
-    again = distinct.where("copies > 1").where(long).select("t", "u", F.col("r").alias("first"))
-    copies = every.select("doc_id", "line_no", "t", "u").join(again, ["t", "u"]).where("doc_id <> first.doc_id or line_no <> first.line_no").select("doc_id", "line_no")
+        whole_entries = _unpacked(entries, "", "").select("w", "t", "u", "d", "l", "n", "m", "p")
+        again = whole_entries.join(open_, (F.col("t") == F.col("_t")) & (F.col("u") == F.col("_u")), "left_semi")
+        other = whole_entries.select(*(F.col(c).alias(f"o{c}") for c in whole_entries.columns))
+        rest = again.join(other, F.expr(f"w = ow and {_earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou", F.lit(0).alias("k")).distinct()
+        more = _compared(rest, distinct, percent).where("ok").select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
+        late = late.unionByName(more).distinct()
+
+    # later copies of a line: found by hash alone, then judged by the words of one of them
+    firsts = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").select("t", "u", "first")
+    copies = every.join(firsts, ["t", "u"]).where("doc_id <> first.doc_id or line_no <> first.line_no")
+    copies = copies.where(F.size(F.array_remove(F.array_distinct(_words(F.col("line"))), "")) >= least).select("doc_id", "line_no")
     return late.unionByName(copies)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (t, u) - earlier (ot, ou) those whose word sets reach the similarity: t, u, d, l of the later line."""
+def _unpacked(df: DataFrame, of: str, to: str) -> DataFrame:
+    """Adds t, u, d, l, m, c, n, p (with the prefix `to`) of an index entry whose columns start with `of`."""
+    c = lambda x: F.col(f"{of}{x}")
+    new = {
+        "t": c("t"), "d": c("d"), "m": c("m"), "u": F.shiftright(c("ul"), 32).cast("int"), "l": c("ul").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"), "c": F.shiftright(c("cnp"), 42),
+        "n": F.shiftright(c("cnp"), 21).bitwiseAND(F.lit(0x1FFFFF)), "p": c("cnp").bitwiseAND(F.lit(0x1FFFFF)),
+    }
+    return df.withColumns({f"{to}{k}": v for k, v in new.items()})
+
+
+def _earlier(a: str, b: str) -> str:
+    return f"({a}d < {b}d or ({a}d = {b}d and {a}l < {b}l))"
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (t, u) - earlier (ot, ou) with d, l of the later line and ok: whether the word sets reach the similarity."""
     words = lambda c: F.array_remove(F.array_distinct(_words(F.col(c))), "")
-    mine = sets.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "line")
-    other = sets.select(F.col("t").alias("ot"), F.col("u").alias("ou"), F.col("line").alias("oline"))
-    full = pairs.select("t", "u", "ot", "ou").join(mine, ["t", "u"]).join(other, ["ot", "ou"])
-    full = full.select("t", "u", "d", "l", words("line").alias("a"), words("oline").alias("b"))
+    other = sets.select(F.col("t").alias("ot"), F.col("u").alias("ou"), F.col("r").alias("o_r"), F.col("copies").alias("o_copies"), F.col("line").alias("oline"))
+    full = pairs.join(sets, ["t", "u"]).join(other, ["ot", "ou"])
+    # both sides use all columns of the distinct lines, so that one exchange serves them and the index
+    full = full.where(F.col("copies") + F.col("o_copies") + F.col("r.line_no") + F.col("o_r.line_no") >= 0)
+    full = full.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "k", words("line").alias("a"), words("oline").alias("b"))
     common = F.size(F.array_intersect("a", "b"))
-    return full.where(common * 100 >= (F.size("a") + F.size("b") - common) * percent).select("t", "u", "d", "l")
+    return full.select("t", "u", "d", "l", "k", (common * 100 >= (F.size("a") + F.size("b") - common) * percent).alias("ok"))
 
 
 def _ints(values: list[int]) -> Column:
