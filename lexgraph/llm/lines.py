@@ -70,9 +70,9 @@ def _may_match(a: str, b: str, percent: int) -> str:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line and its 96-bit hash (t, u) of documents that have an id."""
+    """doc_id, line_no, line and its 88-bit hash (t, u) of documents that have an id."""
     out = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return out.select("doc_id", "line_no", "line", F.xxhash64("line").alias("t"), F.hash("line").alias("u"))
+    return out.select("doc_id", "line_no", "line", F.xxhash64("line").alias("t"), F.shiftright(F.hash("line"), 8).alias("u"))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
@@ -84,14 +84,15 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     classes = _ints(rarity(docs))
     every = lines(docs)
     distinct = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count("*").alias("copies"), F.first("line").alias("line"))
-    keyed = distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", _keys(F.col("line"), classes).alias("keys"))
-    keyed = keyed.withColumn("n", F.size("keys")).where(F.col("n") >= least).withColumn("m", _parity(F.col("keys")))
-    prefix = F.slice("keys", F.lit(1), F.expr(f"cast(n - ceil(n * {percent} / 100 - 1e-9) + 1 as int)"))
-    # an entry of the prefix index: word, line (hash, first occurrence), bitmap, and copies, size and position in one number
-    entries = keyed.select("t", "d", "m", F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode(prefix).alias("p", "w"))
-    entries = entries.select("w", "t", "ul", "d", "m", (F.col("cn") + F.col("p")).alias("cnp"))
-
-    # one exchange by word serves the windows and both joins below, for which all sides use all columns
+    head = lambda k: F.when(F.size(k) >= least, (F.size(k) * (100 - percent) / 100 + 1e-9).cast("int") + 1).otherwise(0)
+    # the word keys are a lambda's variable and then a generator's output, so they are computed once a line
+    view = F.transform(F.array(_keys(F.col("line"), classes)), lambda k: F.struct(F.size(k).alias("n"), _parity(k).alias("m"), F.slice(k, F.lit(1), head(k)).alias("prefix")))
+    keyed = distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", F.inline(view))
+    # an entry of the prefix index: word (40 bits), line (hash, first occurrence), bitmap, and copies, size, position in one number
+    entries = keyed.select("t", "d", "m", F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode("prefix").alias("p", "w"))
+    entries = entries.select(F.col("w").bitwiseAND(F.lit((1 << 40) - 1)).alias("w"), "t", "ul", "d", "m", (F.col("cn") + F.col("p")).alias("cnp"))
+    # one exchange by word serves the windows and both sides of the join, which therefore use the same rows and columns
+    entries = entries.where(" and ".join(f"{c} is not null" for c in entries.columns)).repartition("w")
     whole = W.partitionBy("w")
     me = F.struct("d", "ul", "t", "m", "cnp")
     grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(F.struct((F.shiftright("cnp", 42)).alias("c"), (-F.col("d")).alias("nd"), me.alias("e"))).over(whole), "y": F.min(F.struct("d", F.col("ul").bitwiseAND(F.lit(0xFFFFFFFF)).alias("l"), me.alias("e"))).over(whole)})
