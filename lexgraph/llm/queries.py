@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff, decontaminate, embeddings, lines, minhash, mixing, quality, repeats, secrets, toxicity
+from . import backoff, decontaminate, embeddings, lines, minhash, mixing, quality, repeats, secrets, sql, toxicity
 from .common import table
 
 
@@ -75,30 +75,10 @@ QUERIES = {
     "op9_backoff": op9_backoff,
     "op10_near_duplicates": op10_near_duplicates,
 }
-_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+')"
-
-_BACKOFF = f"""
-with docs as (select doc_id, {_WORDS} w from documents where doc_id is not null),
-w as (select doc_id, unnest(w) a, unnest(range(len(w))) i from docs),
-g as (select doc_id, i, a w1, lag(a) over p || ' ' || a w2, lag(a, 2) over p || ' ' || lag(a) over p || ' ' || a w3 from w window p as (partition by doc_id order by i)),
-c1 as (select w1, count(*) n from g group by 1), d1 as (select doc_id, w1, count(*) n from g group by 1, 2),
-c2 as (select w2, count(*) n from g where w2 is not null group by 1), d2 as (select doc_id, w2, count(*) n from g where w2 is not null group by 1, 2),
-c3 as (select w3, count(*) n from g where w3 is not null group by 1), d3 as (select doc_id, w3, count(*) n from g where w3 is not null group by 1, 2),
-total as (select count(*) n from w),
-size as (select doc_id, len(w) n from docs),
-f as (
-  select g.doc_id, g.i, c1.n - d1.n f1, coalesce(c2.n - d2.n, 0) f2, coalesce(c3.n - d3.n, 0) f3, size.n own
-  from g join c1 using (w1) join d1 using (doc_id, w1) join size using (doc_id)
-  left join c2 on c2.w2 = g.w2 left join d2 on d2.doc_id = g.doc_id and d2.w2 = g.w2
-  left join c3 on c3.w3 = g.w3 left join d3 on d3.doc_id = g.doc_id and d3.w3 = g.w3),
-h as (select f.*, lag(f1) over p b1, lag(f2) over p b2, total.n all_words from f, total window p as (partition by doc_id order by i)),
-s1 as (select *, case when f1 > 0 then ln(f1::double / (all_words - own)) else ln((f1 + 1)::double / (all_words - own + all_words)) end s1 from h),
-s2 as (select *, case when f2 > 0 and b1 > 0 then ln(f2::double / b1) when i >= 1 then s1 + ln(0.4::double) else s1 end s2 from s1),
-s3 as (select *, case when f3 > 0 and b2 > 0 then ln(f3::double / b2) when i >= 2 then s2 + ln(0.4::double) else s2 end s3 from s2)
-select size.doc_id, size.n::bigint n_words, round(coalesce(sum(s3), 0), 4) log_score, round(sum(s3) / nullif(size.n, 0), 6) per_word
-from size left join s3 using (doc_id) group by size.doc_id, size.n
-"""
-
 SQL: dict[str, str] = {
-    "op9_backoff": _BACKOFF,
+    "op4_mixing": sql.MIXING,
+    "op6_lines": sql.LINES,
+    "op7_embeddings": sql.VECTORS,
+    "op9_backoff": sql.BACKOFF,
+    "op10_near_duplicates": sql.NEAR,
 }
