@@ -6,9 +6,10 @@ that matches any earlier one (order: doc_id, line number) is removed. Lines unde
 1. Equal lines are counted under their first occurrence; the later ones are removed, the first stands for them.
 2. The words of a line are ordered by rarity (frequency class over all texts, then hash). Lines that match share a word
    of their prefixes; lines are brought together by prefix word. A parity bitmap bounds the difference of two sets.
-3. In every group of a prefix word, a line is compared with two pivots first (the most copied line, the earliest one).
-   Only lines for which no earlier pivot can match are compared with all earlier lines of the group, so that a group of
-   near copies costs as many pairs as it has lines.
+3. In every group of a prefix word, a line is compared with a pivot first, the most copied line. Only lines without a
+   close earlier pivot in any of their groups are compared with all earlier lines of the groups, so that a group of near
+   copies costs as many pairs as it has lines. Prefixes are one word longer than needed for one common word, so such
+   pairs must have two.
 4. Pairs are verified on the full sets. A line whose pivots all fail is then compared with everything in its groups.
 """
 
@@ -26,6 +27,8 @@ PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
 BUCKETS = 1 << 16
+#: Lines that may be broadcast to a scan; more go through the index.
+FEW = 2_000
 
 
 def _words(line: Column) -> Column:
@@ -60,12 +63,22 @@ def _parity(keys: Column) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
 
 
-def _may_match(a: str, b: str, percent: int) -> str:
-    """Length, positional and bitmap filters of a pair of prefix entries (n words, position p, bitmap m), as SQL."""
+def _fields(of: str) -> dict[str, str]:
+    """SQL of the fields of an index entry whose columns start with `of`."""
+    return {
+        "d": f"{of}d", "l": f"cast({of}ul & 4294967295 as int)", "t": f"{of}t", "u": f"cast(shiftright({of}ul, 32) as int)", "m": f"{of}m",
+        "n": f"(shiftright({of}cnp, 21) & 2097151)", "p": f"({of}cnp & 2097151)", "c": f"shiftright({of}cnp, 42)",
+    }
+
+
+def _may_match(x: dict[str, str], y: dict[str, str], percent: int, share: int = 1) -> str:
+    """Order, length, positional and bitmap filters of an entry x and one of an earlier line y, as SQL; the bitmaps may
+    differ in one `share`-th of the words that may differ."""
     return (
-        f"{a}n * 100 >= {b}n * {percent} and {b}n * 100 >= {a}n * {percent}"
-        f" and (least({a}p, {b}p) + least({a}n - {a}p, {b}n - {b}p)) * {100 + percent} >= ({a}n + {b}n) * {percent}"
-        f" and bit_count({a}m ^ {b}m) * {100 + percent} <= ({a}n + {b}n) * {100 - percent}"
+        f"({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['l']} < {x['l']}))"
+        f" and {x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
+        f" and (least({x['p']}, {y['p']}) + least({x['n']} - {x['p']}, {y['n']} - {y['p']})) * {100 + percent} >= ({x['n']} + {y['n']}) * {percent}"
+        f" and bit_count({x['m']} ^ {y['m']}) * {(100 + percent) * share} <= ({x['n']} + {y['n']}) * {100 - percent}"
     )
 
 
@@ -75,6 +88,17 @@ def lines(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "line_no", "line", F.xxhash64("line").alias("t"), F.shiftright(F.hash("line"), 8).alias("u"))
 
 
+def _entries(df: DataFrame, classes: Column, percent: int, least: int, *also: str) -> DataFrame:
+    """Prefix index of lines (t, u, d, l, copies, line): word (40 bits), hash and place of the line, bitmap, and copies,
+    size and position in one number."""
+    head = lambda k: F.when(F.size(k) >= least, (F.size(k) * (100 - percent) / 100 + 1e-9).cast("int") + 2).otherwise(0)
+    # the word keys are a lambda's variable and then a generator's output, so they are computed once a line
+    view = F.transform(F.array(_keys(F.col("line"), classes)), lambda k: F.struct(F.size(k).alias("n"), _parity(k).alias("m"), F.slice(k, F.lit(1), head(k)).alias("prefix")))
+    keyed = df.select("t", "u", "d", "l", "copies", *also, F.inline(view))
+    out = keyed.select("t", "d", "m", *also, F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode("prefix").alias("p", "w"))
+    return out.select(F.col("w").bitwiseAND(F.lit((1 << 40) - 1)).alias("w"), "t", "ul", "d", "m", (F.col("cn") + F.col("p")).alias("cnp"), *also)
+
+
 def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """doc_id, line_no of every line that matches an earlier one. docs: doc_id (the key) and text.
 
@@ -84,39 +108,35 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     classes = _ints(rarity(docs))
     every = lines(docs)
     distinct = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count("*").alias("copies"), F.first("line").alias("line"))
-    head = lambda k: F.when(F.size(k) >= least, (F.size(k) * (100 - percent) / 100 + 1e-9).cast("int") + 1).otherwise(0)
-    # the word keys are a lambda's variable and then a generator's output, so they are computed once a line
-    view = F.transform(F.array(_keys(F.col("line"), classes)), lambda k: F.struct(F.size(k).alias("n"), _parity(k).alias("m"), F.slice(k, F.lit(1), head(k)).alias("prefix")))
-    keyed = distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", F.inline(view))
-    # an entry of the prefix index: word (40 bits), line (hash, first occurrence), bitmap, and copies, size, position in one number
-    entries = keyed.select("t", "d", "m", F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode("prefix").alias("p", "w"))
-    entries = entries.select(F.col("w").bitwiseAND(F.lit((1 << 40) - 1)).alias("w"), "t", "ul", "d", "m", (F.col("cn") + F.col("p")).alias("cnp"))
+    entries = _entries(distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", "line"), classes, percent, least)
     # one exchange by word serves the windows and both sides of the join, which therefore use the same rows and columns
     entries = entries.where(" and ".join(f"{c} is not null" for c in entries.columns)).repartition("w")
     whole = W.partitionBy("w")
-    me = F.struct("d", "ul", "t", "m", "cnp")
-    grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(F.struct((F.shiftright("cnp", 42)).alias("c"), (-F.col("d")).alias("nd"), me.alias("e"))).over(whole), "y": F.min(F.struct("d", F.col("ul").bitwiseAND(F.lit(0xFFFFFFFF)).alias("l"), me.alias("e"))).over(whole)})
-    grouped = grouped.where("size > 1")
-    grouped = _unpacked(grouped, "", "")
-    for k in "xy":
-        grouped = _unpacked(grouped, f"{k}.e.", k)
-    hit_x, hit_y = (f"({_earlier(k, '')} and {_may_match('', k, percent)})" for k in "xy")
-    grouped = grouped.withColumn("pivot", F.expr(f"case when {hit_x} then 1 when {hit_y} then 2 else 0 end"))
-    by_pivot = grouped.where("pivot > 0").select("t", "u", *(F.expr(f"case when pivot = 1 then x{c} else y{c} end").alias(f"o{c}") for c in "tu"))
-    a = grouped.where("pivot = 0").select("w", "t", "u", "d", "l", "n", "m", "p", "c")
-    b = _unpacked(entries.select(*(F.col(c).alias(f"b_{c}") for c in ("w", "t", "ul", "d", "m", "cnp"))), "b_", "o")
-    by_all = a.join(b, F.expr(f"w = b_w and c + oc > 0 and {_earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou")
-    pairs = by_pivot.withColumn("k", F.lit(1)).unionByName(by_all.withColumn("k", F.lit(0))).groupBy("t", "u", "ot", "ou").agg(F.max("k").alias("k"))
+    me = F.struct(F.shiftright("cnp", 42).alias("c"), (-F.col("d")).alias("nd"), "d", "ul", "t", "m", "cnp")
+    grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(me).over(whole)}).where("size > 1")
+    own, x = _fields(""), _fields("x.")
+    # a close pivot has few enough differing bits on the safe side and far fewer than unrelated lines
+    close = f"{_may_match(own, x, percent, 2)} and bit_count(m ^ x.m) <= 14"
+    grouped = grouped.withColumn("pivot", F.expr(f"coalesce({close}, false)"))
+    line, other = [F.expr(own[c]).alias(c) for c in "tu"], _fields("o_")
+    by_pivot = grouped.where("pivot").select(*line, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"), F.lit(1).alias("k"))
+    a, b = grouped.where("not pivot").select("w", "t", "ul", "d", "m", "cnp"), entries.select(*(F.col(c).alias(f"o_{c}") for c in ("w", "t", "ul", "d", "m", "cnp")))
+    by_all = a.join(b, F.expr(f"w = o_w and cnp + o_cnp > 0 and {_may_match(own, other, percent)}"))
+    by_all = by_all.select(*line, *(F.expr(other[c]).alias(f"o{c}") for c in "tu"), F.lit(0).alias("k"))
+    # per pair the common prefix words; per line whether it has a close pivot, in which case only pivots are verified
+    pairs = by_pivot.unionByName(by_all).groupBy("t", "u", "ot", "ou").agg(F.max("k").alias("k"), F.count("*").alias("words"))
+    pairs = pairs.withColumn("closest", F.max("k").over(W.partitionBy("t", "u"))).where("k = closest and (k = 1 or words >= 2)").select("t", "u", "ot", "ou", "k")
     checked = stored(_compared(pairs, distinct, percent))
     late = checked.where("ok").select(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).distinct()
 
     # lines with pivots that all failed are compared with all of their groups
-    open_ = checked.groupBy("t", "u").agg(F.max("k").alias("k"), F.max("ok").alias("ok")).where("k = 1 and not ok").select(F.col("t").alias("_t"), F.col("u").alias("_u"))
-    if open_.limit(1).count():
-        whole_entries = _unpacked(entries, "", "").select("w", "t", "u", "d", "l", "n", "m", "p")
-        again = whole_entries.join(open_, (F.col("t") == F.col("_t")) & (F.col("u") == F.col("_u")), "left_semi")
-        other = whole_entries.select(*(F.col(c).alias(f"o{c}") for c in whole_entries.columns))
-        rest = again.join(other, F.expr(f"w = ow and {_earlier('o', '')} and {_may_match('', 'o', percent)}")).select("t", "u", "ot", "ou", F.lit(0).alias("k")).distinct()
+    open_ = checked.groupBy("t", "u").agg(F.max("k").alias("k"), F.max("ok").alias("ok"), F.first("d").alias("_d"), F.first("l").alias("_l")).where("k = 1 and not ok").select(F.col("t").alias("_t"), F.col("u").alias("_u"), "_d", "_l")
+    n_open = open_.limit(FEW + 1).count()
+    if 0 < n_open <= FEW:
+        late = late.unionByName(_recheck(every, open_, classes, percent, least)).distinct()
+    elif n_open:
+        again = entries.join(open_, (F.col("t") == F.col("_t")) & (F.expr(own["u"]) == F.col("_u")), "left_semi")
+        rest = again.join(b, F.expr(f"w = o_w and {_may_match(own, other, percent)}")).select(*line, *(F.expr(other[c]).alias(f"o{c}") for c in "tu"), F.lit(0).alias("k")).distinct()
         more = _compared(rest, distinct, percent).where("ok").select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
         late = late.unionByName(more).distinct()
 
@@ -127,18 +147,17 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     return late.unionByName(copies)
 
 
-def _unpacked(df: DataFrame, of: str, to: str) -> DataFrame:
-    """Adds t, u, d, l, m, c, n, p (with the prefix `to`) of an index entry whose columns start with `of`."""
-    c = lambda x: F.col(f"{of}{x}")
-    new = {
-        "t": c("t"), "d": c("d"), "m": c("m"), "u": F.shiftright(c("ul"), 32).cast("int"), "l": c("ul").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"), "c": F.shiftright(c("cnp"), 42),
-        "n": F.shiftright(c("cnp"), 21).bitwiseAND(F.lit(0x1FFFFF)), "p": c("cnp").bitwiseAND(F.lit(0x1FFFFF)),
-    }
-    return df.withColumns({f"{to}{k}": v for k, v in new.items()})
-
-
-def _earlier(a: str, b: str) -> str:
-    return f"({a}d < {b}d or ({a}d = {b}d and {a}l < {b}l))"
+def _recheck(every: DataFrame, open_: DataFrame, classes: Column, percent: int, least: int) -> DataFrame:
+    """The same for at most FEW lines, which are broadcast to a scan of all lines: nothing is shuffled."""
+    mine = every.join(F.broadcast(open_), (F.col("t") == F.col("_t")) & (F.col("u") == F.col("_u")) & (F.col("doc_id") == F.col("_d")) & (F.col("line_no") == F.col("_l")))
+    shape = lambda df: df.select("t", "u", F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.lit(1).alias("copies"), "line")
+    few = _entries(shape(mine), classes, percent, least, "line")
+    few = few.select(*(F.col(c).alias(f"x_{c}") for c in few.columns))
+    all_ = _entries(shape(every), classes, percent, least, "line")
+    words = lambda c: F.array_remove(F.array_distinct(_words(F.col(c))), "")
+    hit = all_.join(F.broadcast(few), F.expr(f"w = x_w and {_may_match(_fields('x_'), _fields(''), percent)}")).select(F.expr(_fields("x_")["d"]).alias("doc_id"), F.expr(_fields("x_")["l"]).alias("line_no"), words("x_line").alias("a"), words("line").alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    return hit.where(common * 100 >= (F.size("a") + F.size("b") - common) * percent).select("doc_id", "line_no").distinct()
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
