@@ -29,6 +29,8 @@ LEAST_WORDS = 5
 BUCKETS = 1 << 16
 #: Lines that may be broadcast to a scan; more go through the index.
 FEW = 2_000
+#: A pivot is close if the bitmaps differ in at most so many bits, and in one SHARE-th of what a match may differ in.
+CLOSE_BITS, CLOSE_SHARE = 14, 2
 
 
 def _words(line: Column) -> Column:
@@ -116,7 +118,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(me).over(whole)}).where("size > 1")
     own, x = _fields(""), _fields("x.")
     # a close pivot has few enough differing bits on the safe side and far fewer than unrelated lines
-    close = f"{_may_match(own, x, percent, 2)} and bit_count(m ^ x.m) <= 14"
+    close = f"{_may_match(own, x, percent, CLOSE_SHARE)} and bit_count(m ^ x.m) <= {CLOSE_BITS}"
     grouped = grouped.withColumn("pivot", F.expr(f"coalesce({close}, false)"))
     line, other = [F.expr(own[c]).alias(c) for c in "tu"], _fields("o_")
     by_pivot = grouped.where("pivot").select(*line, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"), F.lit(1).alias("k"))

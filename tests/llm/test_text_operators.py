@@ -169,6 +169,24 @@ def test_lines(docs, prose):
     assert lines.report(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("few", [2_000, 0])
+def test_lines_whose_pivots_fail(docs, prose, monkeypatch, few):
+    """With loose pivots many fail, and both ways of looking again must find what the index finds."""
+    monkeypatch.setattr(lines, "CLOSE_BITS", 64)
+    monkeypatch.setattr(lines, "CLOSE_SHARE", 1)
+    monkeypatch.setattr(lines, "FEW", few)
+    rng = random.Random(9)
+    base = prose(60, "long").split()
+    rows = [(0, " ".join(base))] * 1
+    for i in range(1, 40):
+        w = list(base)
+        for j in rng.sample(range(60), rng.randint(0, 9)):
+            w[j] = f"n{i % 13}x{j}"
+        rows.append((i, " ".join(w) + "\n" + prose(12, i % 5)))
+    rows += [(100 + i, " ".join(base)) for i in range(5)]
+    assert {(r.doc_id, r.line_no) for r in lines.removed_lines(docs(rows)).collect()} == brute_lines(rows)
+
+
 # ---- 8
 
 
