@@ -423,3 +423,132 @@ def class_pivot(spark, sf):
 def nfkd_names(spark, sf):
     """Compatibility decomposition has no SQL: customers' segments with accents put in, decomposed."""
     return _t(spark, sf, "customer").select("c_custkey", T.normalize_text(F.translate("c_mktsegment", "AUO", "ÄÜÖ")).alias("segment"))
+
+
+@_register("select 'N' || n_regionkey iri, min(n_name) name, count(*)::bigint copies from nation group by 1")
+def combined_first_node(spark, sf):
+    """First node per identifier over files (regions as ids, nations as files), with the number of its copies."""
+    from ..sources import writers
+
+    n = _t(spark, sf, "nation").select(F.col("n_name").alias("file_name"), F.col("n_nationkey").alias("pos"), F.concat(F.lit("N"), F.col("n_regionkey").cast("string")).alias("iri"), F.col("n_name").alias("name"))
+    copies = n.groupBy("iri").agg(F.count("*").alias("copies"))
+    return writers.combined_graph(n).join(copies, "iri").select("iri", "name", "copies")
+
+
+@_register("""
+select regexp_extract(replace(f, '_peep.json', ''), '^(.+?)(_osa[0-9]+.*)?$', 1) as name, string_agg(distinct f, ',' order by f) as files
+from (select 'law' || (o_custkey % 40) || case when o_orderkey % 3 > 0 then '_osa' || (o_orderkey % 3) else '' end || '_peep.json' f from orders) group by 1""")
+def law_registry(spark, sf):
+    part = F.when(F.col("o_orderkey") % 3 > 0, F.concat(F.lit("_osa"), (F.col("o_orderkey") % 3).cast("string"))).otherwise("")
+    d = _t(spark, sf, "orders").select(F.concat(F.lit("law"), (F.col("o_custkey") % 40).cast("string"), part, F.lit("_peep.json")).alias("file_name"))
+    return readers.law_registry(d).select("name", F.array_join("files", ",").alias("files"))
+
+
+@_register("""
+with p as (select unnest(range(0, 10)) t), s as (select floor(o_totalprice / 500000 * 10) / 10 b from orders where o_totalprice < 500000)
+select printf('%.1f', b) bucket, count(*)::bigint n from s group by 1""")
+def similarity_tenths(spark, sf):
+    s = _t(spark, sf, "orders").where("o_totalprice < 500000").select((F.col("o_totalprice") / 500000).alias("similarity"))
+    return s.groupBy(T.bucket(F.col("similarity")).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@_register("select c_nationkey::bigint dst, string_agg(c_custkey::varchar, ',' order by c_custkey) sources from customer group by 1")
+def adjacency_lists(spark, sf):
+    c = _t(spark, sf, "customer")
+    e = c.select(F.col("c_custkey").cast("string").alias("src"), F.col("c_nationkey").cast("bigint").alias("dst"), F.col("c_custkey").alias("ord")).unionByName(c.select(F.col("c_custkey").cast("string").alias("src"), F.col("c_nationkey").cast("bigint").alias("dst"), (F.col("c_custkey") + 1000000).alias("ord")))
+    return G.adjacency(e).select("dst", F.array_join("sources", ",").alias("sources"))
+
+
+@_register("""
+with m as (select 'slug' || n_nationkey k, n_name v from nation where n_nationkey % 2 = 0),
+f as (select p_partkey, 'slug' || (p_partkey % 25) || case when p_partkey % 3 = 0 then '_osa1' else '' end slug from part)
+select p_partkey, slug, coalesce(a.v, b.v) v from f left join m a on a.k = slug left join m b on b.k = regexp_replace(slug, '_osa[0-9]+.*$', '')""")
+def chained_key_join(spark, sf):
+    n = _t(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.concat(F.lit("slug"), F.col("n_nationkey").cast("string")).alias("k"), F.col("n_name").alias("v"))
+    slug = F.concat(F.lit("slug"), (F.col("p_partkey") % 25).cast("string"), F.when(F.col("p_partkey") % 3 == 0, F.lit("_osa1")).otherwise(""))
+    return R.coalesced_join(_t(spark, sf, "part").select("p_partkey", slug.alias("slug")), n, [F.col("slug"), T.base_slug(F.col("slug"))], "k", ["v"])
+
+
+@_register("""
+with e as (select o_custkey k, 'x' || (o_orderkey % 4) v, o_orderkey ord from orders where o_orderstatus = 'O'), w as (select o_custkey k, 'x' || (o_orderkey % 6) v, o_orderkey ord from orders where o_orderstatus = 'F'),
+b as (select k, v, min(s * 1000000000 + ord) o from (select *, 0 s from e union all select *, 1 s from w) group by 1, 2)
+select k, string_agg(v, ',' order by o) as merged from b group by 1""")
+def merge_append_refs(spark, sf):
+    o = _t(spark, sf, "orders")
+    side = lambda status, n: o.where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("k"), F.concat(F.lit("x"), (F.col("o_orderkey") % n).cast("string")).alias("v"), F.col("o_orderkey").alias("ord"))
+    return G.merge_append(side("O", 4), side("F", 6), "k", "v").select("k", F.array_join("v", ",").alias("merged"))
+
+
+@_register("select distinct o_custkey src, o_orderpriority dst from orders where o_orderstatus = 'O' and (o_custkey, o_orderpriority) not in (select (o_custkey, o_orderpriority) from orders where o_orderstatus = 'F')")
+def existing_minus_new(spark, sf):
+    o = _t(spark, sf, "orders")
+    side = lambda s: o.where(F.col("o_orderstatus") == s).select(F.col("o_custkey").alias("src"), F.col("o_orderpriority").alias("dst")).distinct()
+    return G.existing_minus(side("O"), side("F"))
+
+
+@_register("""
+with m as (select distinct 'D' || (l_suppkey % 30) celex_dir, l_shipmode country_code, 'N' || (l_partkey % 50) celex_nat from (select *, case l_linenumber % 3 when 0 then 'FI' when 1 then 'LV' else 'LT' end l_shipmode from lineitem)),
+t as (select distinct 'D' || n_nationkey celex_dir from nation)
+select celex_dir, country_code, row_number() over (partition by celex_dir, country_code order by celex_nat)::bigint idx, celex_nat from m semi join t using (celex_dir)""")
+def harmonisation_measures(spark, sf):
+    from ..operators import entities as E
+
+    country = F.when(F.col("l_linenumber") % 3 == 0, "FI").when(F.col("l_linenumber") % 3 == 1, "LV").otherwise("LT")
+    m = _t(spark, sf, "lineitem").select(F.concat(F.lit("D"), (F.col("l_suppkey") % 30).cast("string")).alias("celex_dir"), country.alias("country_code"), F.concat(F.lit("N"), (F.col("l_partkey") % 50).cast("string")).alias("celex_nat"))
+    t = _t(spark, sf, "nation").select(F.concat(F.lit("D"), F.col("n_nationkey").cast("string")).alias("celex_dir"), F.col("n_name").alias("law_name"))
+    return E.harmonisation(m, t, "lex").select("celex_dir", "country_code", F.col("idx").cast("bigint").alias("idx"), "celex_nat")
+
+
+@_register("""
+with d(country_code) as (values ('AFRICA'),('EUROPE'),('NOWHERE')) select country_code, count(r_name)::bigint n from d left join (select r_name from nation join region on n_regionkey = r_regionkey) on r_name = country_code group by 1""")
+def zero_filled_counts(spark, sf):
+    from . import reports
+
+    n = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("country_code"))
+    links = n.select(F.col("country_code").alias("celex_dir"), F.col("country_code").alias("law"))
+    return reports.transposition(links, n, ["AFRICA", "EUROPE", "NOWHERE"])[1].select("country_code", "n")
+
+
+@_register("""
+select c_custkey iri, n_name nation, o.o_orderkey first_order from customer left join nation on c_nationkey = n_nationkey and n_regionkey = 0
+left join (select o_custkey, min(o_orderkey) o_orderkey from orders where o_orderstatus = 'P' group by 1) o on o.o_custkey = c_custkey order by c_custkey limit 100 offset 50""")
+def optional_pattern_page(spark, sf):
+    from . import graph_queries as Q
+
+    c = _t(spark, sf, "customer")
+    n = c.join(_t(spark, sf, "nation").where("n_regionkey = 0"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("iri"), F.col("n_name").alias("nation"))
+    o = _t(spark, sf, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("iri")).agg(F.min("o_orderkey").alias("first_order"))
+    return Q.optional_pattern(c.select(F.col("c_custkey").alias("iri")), "iri", {"nation": n, "first_order": o}, 100, 50)
+
+
+@_register("""
+with i as (select 'lex:' || split_part(p_name, ' ', 1) || '_x' iri from part), r(iri, new_iri) as (values ('lex:red_x', 'lex:R_x'), ('lex:blue_x', 'lex:R_x'), ('lex:green_x', 'lex:G_x'))
+select coalesce(r.new_iri, i.iri) new_iri, count(*)::bigint n from (select distinct iri from i) i left join r using (iri) group by 1 having count(*) > 1""")
+def migration_collisions(spark, sf):
+    i = _t(spark, sf, "part").select(F.concat(F.lit("lex:"), F.substring_index("p_name", " ", 1), F.lit("_x")).alias("iri"))
+    r = spark.createDataFrame([("lex:red_x", "lex:R_x"), ("lex:blue_x", "lex:R_x"), ("lex:green_x", "lex:G_x")], "iri string, new_iri string")
+    return R.collisions(r, i)
+
+
+@_register("""
+with l as (select doc_id, case when n_chars % 3 = 0 then '' else source end t, text from documents)
+select doc_id, coalesce(nullif(t, ''), nullif(case when length(text) > 80 then rtrim(left(text, 80)) || '...' else text end, ''), '§') as label_text from l""")
+def provision_labels(spark, sf):
+    d = _t(spark, sf, "documents")
+    return d.select("doc_id", T.label(F.when(F.col("n_chars") % 3 == 0, "").otherwise(F.col("source")), F.col("text"), F.lit("§")).alias("label_text"))
+
+
+@_register("""
+with o as (select *, ((o_orderkey * 37) % 100 + 1)::int v from orders)
+select o_orderkey, v || '-' || (v + o_custkey % 60 - 5) num, case when o_custkey % 60 - 5 > 50 then regexp_replace(v || '-' || (v + o_custkey % 60 - 5), '[^0-9]', '', 'g') when o_custkey % 60 - 5 < 0 then '' else array_to_string(generate_series(v, v + o_custkey % 60 - 5), ',') end as expanded from o where v + o_custkey % 60 - 5 >= 0""")
+def range_expansion(spark, sf):
+    o = _t(spark, sf, "orders").withColumn("v", ((F.col("o_orderkey") * 37) % 100 + 1).cast("int")).withColumn("e", F.col("v") + F.col("o_custkey") % 60 - 5).where("e >= 0")
+    num = F.concat_ws("-", F.col("v").cast("string"), F.col("e").cast("string"))
+    return o.select("o_orderkey", num.alias("num"), F.array_join(T.expand_range(num), ",").alias("expanded"))
+
+
+@_register("""
+select c_custkey, left(regexp_replace(c_name, '[^0-9A-Za-z]', '', 'g'), 40) celex, c_mktsegment || ', max ' || case when c_custkey % 3 = 2 then '2 years' else '1 year' end label_text from customer""")
+def codes_and_labels(spark, sf):
+    c = _t(spark, sf, "customer")
+    return c.select("c_custkey", T.sanitize_celex(F.col("c_name")).alias("celex"), X.sanction_label(F.col("c_mktsegment"), F.when(F.col("c_custkey") % 3 == 0, F.lit("1 years")).otherwise(F.concat((F.col("c_custkey") % 3).cast("string"), F.lit(" years"))), F.lit(None).cast("string"), F.lit("")).alias("label_text"))
