@@ -27,6 +27,8 @@ PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
 BUCKETS = 1 << 16
+#: Lines of so many words have bitmaps of 128 bits, shorter ones of 64.
+LONG = 64
 #: Lines that may be broadcast to a scan; more go through the index.
 FEW = 2_000
 #: A pivot is close if the bitmaps differ in at most so many bits, and in one SHARE-th of what a match may differ in.
@@ -59,16 +61,17 @@ def _keys(line: Column, classes: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), key)))
 
 
-def _parity(keys: Column) -> Column:
+def _parity(keys: Column, upper: bool = False) -> Column:
     """64 bits, each the parity of the number of words that hash to it; two sets differ in at least as many words as
-    their bitmaps in bits."""
-    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    their bitmaps in bits. With `upper` only words with the next bit set count, which makes it half of 128 bits."""
+    one = (lambda x: F.shiftrightunsigned(x, 6).bitwiseAND(F.lit(1))) if upper else (lambda x: F.lit(1).cast("bigint"))
+    return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", one(x), x.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _fields(of: str) -> dict[str, str]:
     """SQL of the fields of an index entry whose columns start with `of`."""
     return {
-        "d": f"{of}d", "l": f"cast({of}ul & 4294967295 as int)", "t": f"{of}t", "u": f"cast(shiftright({of}ul, 32) as int)", "m": f"{of}m",
+        "d": f"{of}d", "l": f"cast({of}ul & 4294967295 as int)", "t": f"{of}t", "u": f"cast(shiftright({of}ul, 32) as int)", "m": f"{of}m", "h": f"{of}h",
         "n": f"(shiftright({of}cnp, 21) & 2097151)", "p": f"({of}cnp & 2097151)", "c": f"shiftright({of}cnp, 42)",
     }
 
@@ -80,7 +83,8 @@ def _may_match(x: dict[str, str], y: dict[str, str], percent: int, share: int =
         f"({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['l']} < {x['l']}))"
         f" and {x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
         f" and (least({x['p']}, {y['p']}) + least({x['n']} - {x['p']}, {y['n']} - {y['p']})) * {100 + percent} >= ({x['n']} + {y['n']}) * {percent}"
-        f" and bit_count({x['m']} ^ {y['m']}) * {(100 + percent) * share} <= ({x['n']} + {y['n']}) * {100 - percent}"
+        f" and (case when {x['n']} >= {LONG} and {y['n']} >= {LONG} then bit_count({x['m']} ^ {y['m']} ^ {x['h']} ^ {y['h']}) + bit_count({x['h']} ^ {y['h']})"
+        f" else bit_count({x['m']} ^ {y['m']}) end) * {(100 + percent) * share} <= ({x['n']} + {y['n']}) * {100 - percent}"
     )
 
 
@@ -95,10 +99,10 @@ def _entries(df: DataFrame, classes: Column, percent: int, least: int, *also: st
     size and position in one number."""
     head = lambda k: F.when(F.size(k) >= least, (F.size(k) * (100 - percent) / 100 + 1e-9).cast("int") + 2).otherwise(0)
     # the word keys are a lambda's variable and then a generator's output, so they are computed once a line
-    view = F.transform(F.array(_keys(F.col("line"), classes)), lambda k: F.struct(F.size(k).alias("n"), _parity(k).alias("m"), F.slice(k, F.lit(1), head(k)).alias("prefix")))
+    view = F.transform(F.array(_keys(F.col("line"), classes)), lambda k: F.struct(F.size(k).alias("n"), _parity(k).alias("m"), F.when(F.size(k) >= LONG, _parity(k, True)).otherwise(F.lit(0).cast("bigint")).alias("h"), F.slice(k, F.lit(1), head(k)).alias("prefix")))
     keyed = df.select("t", "u", "d", "l", "copies", *also, F.inline(view))
-    out = keyed.select("t", "d", "m", *also, F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode("prefix").alias("p", "w"))
-    return out.select(F.col("w").bitwiseAND(F.lit((1 << 40) - 1)).alias("w"), "t", "ul", "d", "m", (F.col("cn") + F.col("p")).alias("cnp"), *also)
+    out = keyed.select("t", "d", "m", "h", *also, F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode("prefix").alias("p", "w"))
+    return out.select(F.col("w").bitwiseAND(F.lit((1 << 40) - 1)).alias("w"), "t", "ul", "d", "m", "h", (F.col("cn") + F.col("p")).alias("cnp"), *also)
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
@@ -114,7 +118,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     # one exchange by word serves the windows and both sides of the join, which therefore use the same rows and columns
     entries = entries.where(" and ".join(f"{c} is not null" for c in entries.columns)).repartition("w")
     whole = W.partitionBy("w")
-    me = F.struct(F.shiftright("cnp", 42).alias("c"), (-F.col("d")).alias("nd"), "d", "ul", "t", "m", "cnp")
+    me = F.struct(F.shiftright("cnp", 42).alias("c"), (-F.col("d")).alias("nd"), "d", "ul", "t", "m", "h", "cnp")
     grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(me).over(whole)}).where("size > 1")
     own, x = _fields(""), _fields("x.")
     # a close pivot has few enough differing bits on the safe side and far fewer than unrelated lines
@@ -122,7 +126,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     grouped = grouped.withColumn("pivot", F.expr(f"coalesce({close}, false)"))
     line, other = [F.expr(own[c]).alias(c) for c in "tu"], _fields("o_")
     by_pivot = grouped.where("pivot").select(*line, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"), F.lit(1).alias("k"))
-    a, b = grouped.where("not pivot").select("w", "t", "ul", "d", "m", "cnp"), entries.select(*(F.col(c).alias(f"o_{c}") for c in ("w", "t", "ul", "d", "m", "cnp")))
+    a, b = grouped.where("not pivot").select("w", "t", "ul", "d", "m", "h", "cnp"), entries.select(*(F.col(c).alias(f"o_{c}") for c in ("w", "t", "ul", "d", "m", "h", "cnp")))
     by_all = a.join(b, F.expr(f"w = o_w and cnp + o_cnp > 0 and {_may_match(own, other, percent)}"))
     by_all = by_all.select(*line, *(F.expr(other[c]).alias(f"o{c}") for c in "tu"), F.lit(0).alias("k"))
     # per pair the common prefix words; per line whether it has a close pivot, in which case only pivots are verified
