@@ -124,7 +124,7 @@ def statute_provisions(paragraphs: DataFrame, laws: DataFrame, prefix: str) -> D
 
 
 def statute_hierarchy(paragraphs: DataFrame, laws: DataFrame, prefix: str) -> DataFrame:
-    """Chapters and divisions: iri, kind, label, parent, and the number, least and greatest of their paragraphs."""
+    """Chapters, divisions and subdivisions: iri, kind, label, parent, and the number, least and greatest of their paragraphs."""
     p = paragraphs.join(laws, "file_name").withColumn("number", T.digits_int(F.col("par_nr")))
     chapter = F.concat_ws("_", F.lit(f"{prefix}:Chapter"), "law", "chapter")
     division = F.concat_ws("_", F.lit(f"{prefix}:Division"), "law", "chapter", "division")
@@ -132,7 +132,18 @@ def statute_hierarchy(paragraphs: DataFrame, laws: DataFrame, prefix: str) -> Da
     law = F.concat(F.lit(f"{prefix}:"), "law", F.lit("_Map_2026"))
     a = p.where("chapter is not null").groupBy(chapter.alias("iri"), F.lit("chapter").alias("kind"), law.alias("parent")).agg(F.first("chapter_title").alias("label"), *size)
     b = p.where("chapter is not null and division is not null").groupBy(division.alias("iri"), F.lit("division").alias("kind"), chapter.alias("parent")).agg(F.first("division_title").alias("label"), *size)
-    return a.unionByName(b)
+    sub = F.concat_ws("_", F.lit(f"{prefix}:Subdivision"), "law", "chapter", "division", "subdivision")
+    c = p.where("chapter is not null and subdivision is not null").groupBy(sub.alias("iri"), F.lit("subdivision").alias("kind"), F.coalesce(F.when(F.col("division").isNotNull(), division), chapter).alias("parent")).agg(F.first("subdivision_title").alias("label"), *size)
+    return a.unionByName(b).unionByName(c)
+
+
+def topic_clusters(paragraphs: DataFrame, laws: DataFrame, prefix: str) -> DataFrame:
+    """Topic clusters of an act, one per chapter (one for all of it without chapters), with their scheme and numbers."""
+    p = paragraphs.join(laws, "file_name").withColumn("number", T.digits_int(F.col("par_nr")))
+    nr = F.coalesce("chapter", F.lit("1"))
+    out = p.groupBy("file_name", "law", nr.alias("nr")).agg(F.min("pos").alias("pos"), F.first("chapter_title").alias("title"), F.min("number").alias("first_par"), F.max("number").alias("last_par"), F.array_sort(F.collect_set("number")).alias("numbers"))
+    return out.select(F.concat_ws("_", F.lit(f"{prefix}:Cluster"), "law", "nr").alias("cluster"), F.concat(F.lit(f"{prefix}:"), "law", F.lit("_TopicScheme")).alias("scheme"), "pos",
+                      F.concat_ws(" ", F.coalesce("title", F.lit("Üldine")), F.concat(F.lit("("), range_label(F.col("first_par"), F.col("last_par")), F.lit(")"))).alias("label"), F.size("numbers").alias("n"), "numbers")
 
 
 def range_label(first: Column, last: Column) -> Column:

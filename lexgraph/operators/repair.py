@@ -95,6 +95,27 @@ def abbreviation_registry(laws: DataFrame, official: DataFrame, short: int = 12)
     return suffix_collisions(j, "abbrev", ["slug"]).select("slug", "abbrev", "source", "title", F.col("prefix").alias("old_prefix"))
 
 
+def assign_prefixes(laws: list[dict], registry: dict[str, str], most: int = 10_000) -> dict[str, str]:
+    """slug -> prefix, in the given order: the registry's, an abbreviation over three signs, the slug at 40 to 80 signs,
+    then numbered. Each choice depends on all before it, so this runs on the driver, over a registry of acts of at most
+    `most` rows (else it refuses)."""
+    if len(laws) > most:
+        raise ValueError(f"{len(laws)} acts; a registry of at most {most} is expected")
+    taken, out = set(registry.values()), dict(registry)
+    for law in laws:
+        slug, short = law["slug"], law.get("abbrev") or ""
+        if slug in out:
+            continue
+        tries = [short] * (len(short) > 3) + [slug[:n].rstrip("_") for n in (40, 50, 60, 70, 80)]
+        name = next((x for x in tries if x not in taken), None)
+        n = 2
+        while name is None or name in taken:
+            name, n = f"{slug[:80]}_{n}", n + 1
+        taken.add(name)
+        out[slug] = name
+    return out
+
+
 def repair(nodes: DataFrame, edges: DataFrame, prefix: str, shared: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, edges, duplicates left) after the whole sequence: in-file numbering, remap, links, verification."""
     fixed = within_file(nodes)

@@ -104,11 +104,11 @@ def _text(e, longest: int | None, least: int, tags: tuple[str, ...]) -> str:
     return joined[:longest] if longest else joined
 
 
-_PARAGRAPH = "file_name string, pos int, part string, chapter string, chapter_title string, division string, division_title string, par_nr string, display string, title string, summary string, full_text string"
+_PARAGRAPH = "file_name string, pos int, part string, chapter string, chapter_title string, division string, division_title string, subdivision string, subdivision_title string, par_nr string, display string, title string, summary string, full_text string"
 
 
 def statute_paragraphs(spark: SparkSession, path: str, longest: int = 500, least: int = 4, tags: tuple[str, ...] = _TEXT_TAGS) -> DataFrame:
-    """A row per paragraph of statute XML in document order, with the part, chapter and division it stands in."""
+    """A row per paragraph of statute XML in document order, with the part, chapter, division and subdivision it stands in."""
 
     def walk(name: str, raw: bytes):
         try:
@@ -123,11 +123,13 @@ def statute_paragraphs(spark: SparkSession, path: str, longest: int = 500, least
             if tag == "osa":
                 at = at | {"part": _child(e, "osaNr")}
             elif tag == "peatykk":
-                at = at | {"chapter": _child(e, "peatykkNr"), "chapter_title": _child(e, "peatykkPealkiri"), "division": None, "division_title": None}
+                at = at | {"chapter": _child(e, "peatykkNr"), "chapter_title": _child(e, "peatykkPealkiri"), "division": None, "division_title": None, "subdivision": None, "subdivision_title": None}
             elif tag == "jagu":
-                at = at | {"division": _child(e, "jaguNr"), "division_title": _child(e, "jaguPealkiri")}
+                at = at | {"division": _child(e, "jaguNr"), "division_title": _child(e, "jaguPealkiri"), "subdivision": None, "subdivision_title": None}
+            elif tag == "jaotis":
+                at = at | {"subdivision": _child(e, "jaotisNr"), "subdivision_title": _child(e, "jaotisPealkiri")}
             elif tag == "paragrahv":
-                yield (name, pos, at.get("part"), at.get("chapter"), at.get("chapter_title"), at.get("division"), at.get("division_title"), _child(e, "paragrahvNr"), _child(e, "kuvatavNr"), _child(e, "paragrahvPealkiri"), _text(e, longest, least, tags), _text(e, None, 1, tags))
+                yield (name, pos, at.get("part"), at.get("chapter"), at.get("chapter_title"), at.get("division"), at.get("division_title"), at.get("subdivision"), at.get("subdivision_title"), _child(e, "paragrahvNr"), _child(e, "kuvatavNr"), _child(e, "paragrahvPealkiri"), _text(e, longest, least, tags), _text(e, None, 1, tags))
                 pos += 1
                 continue
             stack += [(x, at) for x in reversed(list(e))]

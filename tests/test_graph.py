@@ -101,3 +101,8 @@ def test_fuzzy(spark):
     reg = spark.createDataFrame([("liiklusseadus", "liiklusseadus", 0)], "title_lower string, slug string, ord int")
     assert {r.law_name: r.slug for r in R.name_to_slug(d, reg).collect()} == {"Liiklusseaduse": "liiklusseadus", "liiklus": "liiklusseadus", "zzz": None}
     assert F is not None
+
+
+def test_prefixes():
+    laws = [{"slug": "a" * 45, "abbrev": "ABCD"}, {"slug": "a" * 45 + "x", "abbrev": "ABCD"}, {"slug": "b", "abbrev": "PS"}, {"slug": "r"}]
+    assert P.assign_prefixes(laws, {"r": "REG"}) == {"r": "REG", "a" * 45: "ABCD", "a" * 45 + "x": "a" * 40, "b": "b"}

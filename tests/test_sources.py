@@ -54,6 +54,8 @@ def test_statutes(spark, tmp_path):
     laws = spark.createDataFrame([("a.xml", "AS", "Aseadus")], "file_name string, law string, source_act string")
     assert [r.iri for r in E.statute_provisions(p, laws, "lex").orderBy("pos").collect()] == ["lex:AS_Par_1", "lex:AS_Par_76", "lex:AS_Par_76_2"]
     assert {(r.iri, r.kind, r.n) for r in E.statute_hierarchy(p, laws, "lex").collect()} == {("lex:Chapter_AS_1", "chapter", 2), ("lex:Division_AS_1_2", "division", 1)}
+    clusters = E.topic_clusters(p, laws, "lex").collect()
+    assert [(c.cluster, c.n, c.label) for c in clusters] == [("lex:Cluster_AS_1", 2, "Üld (§ 1–76)")]
     d = readers.statute_dates(spark, str(tmp_path / "*.xml")).first()
     assert (d.entry_into_force, d.adoption_date, d.last_amendment_date) == (date(2017, 2, 26), date(2017, 2, 1), date(2018, 5, 1))
     m = readers.amendment_marks(spark, str(tmp_path / "a.xml")).first()
