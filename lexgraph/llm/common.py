@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -38,6 +39,9 @@ def stored(df: DataFrame) -> DataFrame:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/lexgraph-{uuid.uuid4().hex}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     df.write.parquet(path.toString())
+    # the driver's collector is what lets Spark delete the shuffle files of the finished job
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path.toString())
 
 

@@ -30,9 +30,9 @@ BUCKETS = 1 << 16
 #: Lines of so many words have bitmaps of 128 bits, shorter ones of 64.
 LONG = 64
 #: Lines that may be broadcast to a scan; more go through the index.
-FEW = 2_000
+FEW = 10_000
 #: A pivot is close if the bitmaps differ in at most so many bits, and in one SHARE-th of what a match may differ in.
-CLOSE_BITS, CLOSE_SHARE = 14, 2
+CLOSE_BITS, CLOSE_SHARE = 14, 1
 
 
 def _words(line: Column) -> Column:
