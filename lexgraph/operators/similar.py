@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -45,19 +45,53 @@ def shared_terms(concepts: DataFrame) -> DataFrame:
     return a.join(b, (F.col("a.term_lower") == F.col("b.term_lower")) & (F.col("a.ord") < F.col("b.ord"))).select(F.col("a.iri").alias("src"), F.col("b.iri").alias("dst"), F.col("a.term_lower").alias("term_lower"))
 
 
+#: Words of up to so many letters meet through deletions; longer ones, whose deletions are many, through segments.
+SHORT = 16
+
+
+def _deletions(words: Column, k: int) -> Column:
+    """The distinct strings left by k deletions from an array's strings (all letters of shorter ones)."""
+    for _ in range(k):
+        less = F.transform(words, lambda s: F.when(F.length(s) < 2, F.array(F.lit(""))).otherwise(
+            F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s))))))
+        words = F.array_distinct(F.flatten(less))
+    return words
+
+
+def _segments(words: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Keys of the longer and the shorter word of a pair: of distance + 1 segments of the longer one, one stands in the other, shifted by distance at most."""
+    n, size = distance + 1, F.length("term_lower")
+    at = lambda size, k: F.floor(size * k / n).cast("int")
+    key = lambda size, k, start: F.struct(size.alias("size"), F.lit(k).alias("k"), F.substring(F.col("term_lower"), start + 1, at(size, k + 1) - at(size, k)).alias("s"))
+    longer = words.withColumn("key", F.explode(F.array(*(key(size, k, at(size, k)) for k in range(n)))))
+    shorter = words.withColumn("key", F.explode(F.array_distinct(F.array(*(
+        key(size + more, k, F.greatest(F.lit(0), at(size + more, k) + shift)) for more in range(distance + 1) for k in range(n) for shift in range(-distance, distance + 1))))))
+    return longer, shorter
+
+
 def near_terms(concepts: DataFrame, most_terms: int = 5000, least_length: int = 4, distance: int = 2) -> DataFrame:
     """Close matches between different terms at an edit distance of 1 or 2, as links of their first entries.
 
-    Terms meet through an equi-join on length bands. As in the source, nothing is linked above `most_terms` terms; pass
-    None for no such limit. concepts: iri, term_lower, ord.
+    Terms meet through an equi-join on what is left of both after deletions: with distance deletions from the longer
+    term, and as many less as it is longer from the other, any close pair has a string in common. As in the source,
+    nothing is linked above `most_terms` terms; pass None for no such limit. concepts: iri, term_lower, ord.
     """
     terms = concepts.where(F.length("term_lower") >= least_length).groupBy("term_lower").agg(F.min_by("iri", "ord").alias("iri"), F.min("ord").alias("ord"))
     if most_terms is not None and concepts.select("term_lower").distinct().count() > most_terms:
         terms = terms.limit(0)
-    a = terms.withColumn("len", F.explode(F.transform(F.sequence(F.lit(-distance), F.lit(distance)), lambda d: F.length("term_lower") + d))).alias("a")
-    b = terms.withColumn("len", F.length("term_lower")).alias("b")
+    short = terms.where(F.length("term_lower") <= SHORT + distance)
+    left = lambda k: short.withColumn("key", F.explode(_deletions(F.array("term_lower"), k)))
+    whole = left(distance)
+    more = F.length("a.term_lower") - F.length("b.term_lower")
     d = F.levenshtein(F.col("a.term_lower"), F.col("b.term_lower"), distance)
-    pairs = a.join(b, (F.col("a.len") == F.col("b.len")) & (F.col("a.ord") < F.col("b.ord"))).withColumn("distance", d).where(F.col("distance").between(1, distance))
+    found = [(whole, left(distance - k), more == k) for k in range(distance + 1)]
+    found.append((*_segments(terms.where(F.length("term_lower") > SHORT), distance), more.between(0, distance)))
+    pairs = None
+    for a, b, fits in found:
+        met = a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & fits & ((more > 0) | (F.col("a.term_lower") < F.col("b.term_lower")))).withColumn("distance", d)
+        met = met.where(F.col("distance").between(1, distance)).select(F.struct("a.ord", "a.iri", "a.term_lower").alias("x"), F.struct("b.ord", "b.iri", "b.term_lower").alias("y"), "distance")
+        pairs = met if pairs is None else pairs.unionByName(met)
+    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance").distinct()
     return pairs.select(F.col("a.iri").alias("src"), F.col("b.iri").alias("dst"), F.col("a.term_lower").alias("term_a"), F.col("b.term_lower").alias("term_b"), "distance")
 
 

@@ -180,8 +180,9 @@ with w as (select doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) w fr
 t as (select w, min(doc_id) ord from w where len(w) between 9 and 10 group by 1)
 select a.w term_a, b.w term_b, levenshtein(a.w, b.w)::bigint distance from t a join t b on a.w < b.w and abs(len(a.w) - len(b.w)) <= 2 and levenshtein(a.w, b.w) between 1 and 1""")
 def edit_distance_band(spark, sf):
-    w = _t(spark, sf, "documents").where("lang = 'en'").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w")).where("length(w) between 9 and 10").distinct()
-    out = S.near_terms(w.select(F.col("w").alias("iri"), F.col("w").alias("term_lower"), F.col("w").alias("ord")), most_terms=None, distance=1)
+    """Links of all words of 4 letters or more; the SQL covers English words of 9 to 10 letters at a distance of 1."""
+    w = _t(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w")).distinct()
+    out = S.near_terms(w.select(F.col("w").alias("iri"), F.col("w").alias("term_lower"), F.col("w").alias("ord")), most_terms=None)
     return out.select("term_a", "term_b", F.col("distance").cast("bigint").alias("distance"))
 
 
