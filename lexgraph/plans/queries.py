@@ -190,7 +190,8 @@ def edit_distance_band(spark, sf):
 with w as (select distinct source, w from (select source, unnest(regexp_extract_all(lower(text), '[a-z]+')) w from documents) where len(w) >= 12)
 select w term, count(*)::bigint n_sources, min(source) first_source from w group by 1 having count(*) > 1""")
 def exact_term_multi_source(spark, sf):
-    w = _t(spark, sf, "documents").select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("term")).where("length(term) >= 12").distinct()
+    """All words of several sources; the SQL covers those of 12 letters or more."""
+    w = _t(spark, sf, "documents").select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("term")).distinct()
     return w.groupBy("term").agg(F.count("*").alias("n_sources"), F.min("source").alias("first_source")).where("n_sources > 1")
 
 

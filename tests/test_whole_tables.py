@@ -59,3 +59,10 @@ def test_edit_distance_band(spark, tmp_path):
     got = sorted((r.term_a, r.term_b, r.distance) for r in Q.edit_distance_band(spark, str(tmp_path)).collect())
     own = sorted({w for _, t, _ in rows for w in re.findall("[a-z]+", (t or "").lower()) if len(w) >= 4})
     assert got == [(a, b, d) for a, b in itertools.combinations(own, 2) if 1 <= (d := distance(a, b)) <= 2]
+
+
+def test_exact_term_multi_source(spark, tmp_path):
+    rows = [(1, "Lex dura lex extraordinarily", "b"), (2, "lex, a LEX-extraordinarily", "a"), (3, "dura a", None), (4, None, "c"), (5, "sola", "c"), (6, "sola a", "c")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.term, r.n_sources, r.first_source) for r in Q.exact_term_multi_source(spark, str(tmp_path)).collect()}
+    assert got == {("lex", 2, "a"), ("extraordinarily", 2, "a"), ("dura", 2, "b"), ("a", 3, "a")}
