@@ -32,7 +32,6 @@ LEET = {
 _SIGNS = "".join(LEET)
 _ODD = re.compile(rf"[a-z][{re.escape(_SIGNS)}]|[{re.escape(_SIGNS)}][a-z]|([a-z])\1\1")
 _DOTTED = re.compile(r"[^\W_]([.\-_*])[^\W_](?:\1[^\W_]){2,}")
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){3,}(?!\S)")
 _EDGE = ".,;:?!\"'()[]{}|&%$#*<>«»¿¡-_"
 _SOFT = re.compile("[­​-‍⁠﻿]")
 
@@ -96,17 +95,30 @@ class Channel:
 
     def decode(self, word: str, k: int = 6) -> list[str]:
         """The k likeliest readings of a word in which every sign is a letter."""
+        return self.search(self.lattice(word), k)
+
+    def segment(self, run: str, k: int = 6, border: float = 0.0) -> list[str]:
+        """The k likeliest readings of a run of letters as words, with a border or none (at a cost) after each letter."""
+        options: list[list[tuple[str, float]]] = []
+        for x in self.lattice(run):
+            if options:
+                options.append([("", 0.0), (" ", border)])
+            options.append(x)
+        return self.search(options, k)
+
+    def search(self, lattice: list[list[tuple[str, float]]], k: int) -> list[str]:
+        """Viterbi search over a lattice; hypotheses that agree in their last letters are one."""
         beams: list[tuple[float, str, int, int]] = [(0.0, "", 0, 0)]
-        for options in self.lattice(word):
+        for options in lattice:
             best: dict[tuple[int, int, str], tuple[float, str, int, int]] = {}
             for s, text, a, b in beams:
                 for letters, cost in options:
                     t, x, y = s + cost, a, b
                     for ch in letters:
-                        c = ord(ch) - 96 if "a" <= ch <= "z" else 27
+                        c = ord(ch) - 96 if "a" <= ch <= "z" else 0 if ch == " " else 27
                         t += self.log_p[x][y][c]
                         x, y = y, c
-                    key = (x, y, text + letters)
+                    key = (x, y, (text[-LONGEST:] + letters))
                     if key not in best or best[key][0] < t:
                         best[key] = (t, text + letters, x, y)
             beams = sorted(best.values(), reverse=True)[: 8 * k]
@@ -125,10 +137,19 @@ def hidden(token: str) -> list[str]:
     return [w for w in words if 3 <= len(w) <= LONGEST]
 
 
-def spaced(text: str) -> list[str]:
-    """Lower-cased words whose letters stand apart."""
-    words = (m[0].replace(" ", "").lower() for m in _SPACED.finditer(text))
-    return [w for w in words if len(w) <= LONGEST]
+def spaced(words: list[str]) -> list[str]:
+    """Maximal runs of three or more single letters or signs among lower-cased words, without the signs at their edges."""
+    out: list[str] = []
+    run: list[str] = []
+    for w in [*words, "  "]:
+        c = w.strip(_EDGE) or w[:1] if len(w) <= 4 else w
+        if len(c) == 1 and w != "  ":
+            run.append(c)
+        elif run:
+            if sum(x.isalpha() or x in LEET for x in run) >= 3 and any(x.isalpha() for x in run):
+                out.append("".join(run))
+            run = []
+    return out
 
 
 def cues(word: str) -> list[str]:
@@ -136,8 +157,12 @@ def cues(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in (5, 6, 7, 8) if len(word) >= k)]
 
 
+def split(text: str) -> list[str]:
+    return _SOFT.sub("", text).lower().split()
+
+
 def tokens(text: str) -> Counter:
-    return Counter(_SOFT.sub("", text).lower().split())
+    return Counter(split(text))
 
 
 @dataclass(frozen=True)
@@ -155,23 +180,37 @@ class Model:
             word = token.strip(_EDGE)
             if not word:
                 return 0.0, ""
-            w = max(lexicon.get(c, 0.0) for c in cues(word))
+            w = plain(word)
             if not w and (odd := hidden(token)):
                 return max(restored(x) for x in odd)
             return w, ""
 
+        def plain(word: str) -> float:
+            return max(lexicon.get(c, 0.0) for c in cues(word))
+
         @lru_cache(maxsize=50_000)
         def restored(word: str) -> tuple[float, str]:
-            return max(((lexicon.get(r, 0.0), r) for r in channel.decode(word)), default=(0.0, ""))
+            return max(((plain(r), r) for r in channel.decode(word)), default=(0.0, ""))
+
+        @lru_cache(maxsize=50_000)
+        def segmented(run: str) -> tuple[float, int, str]:
+            """Weight of a run of single letters, its words with weight and how many they are."""
+            w, reading = restored(run) if len(run) <= LONGEST else (0.0, "")
+            best = (w, int(w > 0), reading if w else "")
+            for r in channel.segment(run):
+                found = [(x, v) for x in r.split() if len(x) > 1 and (v := plain(x))]
+                best = max(best, (sum(v for _, v in found), len(found), " ".join(x for x, _ in found)))
+            return best
 
         def evidence(text: str) -> tuple[list[float], list[str]]:
-            bag = tokens(text)
-            n = sum(bag.values())
+            words = split(text)
+            bag = Counter(words)
+            n = len(words)
             total = hits = 0.0
             back = []
             singles = 0
             for token, k in bag.items():
-                if len(token) == 1:
+                if len(token) <= 4 and len(token.strip(_EDGE)) <= 1:
                     singles += k
                 w, reading = weight(token)
                 if w:
@@ -179,12 +218,12 @@ class Model:
                     hits += k
                     if reading:
                         back.append(f"{token}={reading}")
-            for word in spaced(text) if singles > 3 else ():
-                w, reading = restored(word)
+            for run in spaced(words) if singles > 2 else ():
+                w, k, reading = segmented(run)
                 if w:
                     total += w
-                    hits += 1
-                    back.append(f"{word}={reading}")
+                    hits += k
+                    back.append(f"{run}={reading}")
             return describe(total, hits, n), back
 
         return evidence
