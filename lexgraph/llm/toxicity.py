@@ -21,7 +21,7 @@ from .common import map_texts, text_buffers
 SAMPLE = 20_000
 #: Entries of the learnt lexicon at most (a feature table, not a candidate cap: the strongest by likelihood ratio).
 LEXICON = 20_000
-#: Letters a word may have and still be restored; longer runs are identifiers or junk and stay as they are.
+#: Letters a single word may have; what is longer is restored as a row of words.
 LONGEST = 40
 
 #: Signs that stand for letters.
@@ -31,6 +31,7 @@ LEET = {
 }
 _SIGNS = "".join(LEET)
 _ODD = re.compile(rf"[a-z][{re.escape(_SIGNS)}]|[{re.escape(_SIGNS)}][a-z]|([a-z])\1\1")
+_STRETCHED = re.compile(r"(.)\1{3,}")
 _DOTTED = re.compile(r"[^\W_]([.\-_*])[^\W_](?:\1[^\W_]){2,}")
 _EDGE = ".,;:?!\"'()[]{}|&%$#*<>«»¿¡-_"
 _SOFT = re.compile("[­​-‍⁠﻿]")
@@ -108,33 +109,42 @@ class Channel:
 
     def search(self, lattice: list[list[tuple[str, float]]], k: int) -> list[str]:
         """Viterbi search over a lattice; hypotheses that agree in their last letters are one."""
-        beams: list[tuple[float, str, int, int]] = [(0.0, "", 0, 0)]
+        beams: list[tuple] = [(0.0, "", 0, 0, None)]  # score, last letters, last two codes, chain of all pieces
         for options in lattice:
-            best: dict[tuple[int, int, str], tuple[float, str, int, int]] = {}
-            for s, text, a, b in beams:
+            best: dict[tuple[int, int, str], tuple] = {}
+            for s, text, a, b, chain in beams:
                 for letters, cost in options:
                     t, x, y = s + cost, a, b
                     for ch in letters:
                         c = ord(ch) - 96 if "a" <= ch <= "z" else 0 if ch == " " else 27
                         t += self.log_p[x][y][c]
                         x, y = y, c
-                    key = (x, y, (text[-LONGEST:] + letters))
+                    tail = (text + letters)[-LONGEST:]
+                    key = (x, y, tail)
                     if key not in best or best[key][0] < t:
-                        best[key] = (t, text + letters, x, y)
-            beams = sorted(best.values(), reverse=True)[: 8 * k]
-        return [x for _, x in sorted(((s + self.log_p[a][b][0], text) for s, text, a, b in beams), reverse=True)[:k] if x]
+                        best[key] = (t, tail, x, y, (chain, letters) if letters else chain)
+            beams = sorted(best.values(), key=lambda h: h[:2], reverse=True)[: 8 * k]
+        ends = sorted(((s + self.log_p[a][b][0], text, chain) for s, text, a, b, chain in beams), key=lambda h: h[:2], reverse=True)[:k]
+        return [_unwound(chain) for _, _, chain in ends if chain]
+
+
+def _unwound(chain) -> str:
+    pieces = []
+    while chain:
+        chain, letters = chain
+        pieces.append(letters)
+    return "".join(reversed(pieces))
 
 
 def hidden(token: str) -> list[str]:
     """Lower-cased words a token may hide, for the decoder: signs among letters, stretched or dotted letters."""
-    if len(token) > 2 * LONGEST:
-        return []
     if m := _DOTTED.search(token):
         return [m[0].replace(m[1], "")]
     if not _ODD.search(token):
         return []
+    token = _STRETCHED.sub(r"\1\1\1", token)
     words = dict.fromkeys((token.strip(_EDGE), token.strip(".,;:?\"'()[]{}")))
-    return [w for w in words if 3 <= len(w) <= LONGEST]
+    return [w for w in words if len(w) >= 3]
 
 
 def spaced(words: list[str]) -> list[str]:
@@ -182,7 +192,7 @@ class Model:
                 return 0.0, ""
             w = plain(word)
             if not w and (odd := hidden(token)):
-                return max(restored(x) for x in odd)
+                return max(segmented(x)[::2] if len(x) > LONGEST or _DOTTED.search(token) else restored(x) for x in odd)
             return w, ""
 
         def plain(word: str) -> float:

@@ -27,3 +27,15 @@ SPACED = {
 @pytest.mark.parametrize("text", SPACED)
 def test_spacing(find, text):
     assert find(text) == SPACED[text]
+
+
+LONG = {
+    "an idi" + "o" * 45 + "t": ["idiot"], "m" + "0" * 90 + "ron": ["moron"], "stup1d1d10tm0r0n" * 4: ["idiot", "moron", "stupid"] * 4, "1d10t-" * 20: ["idiot"] * 20,
+    " ".join("heisastupidmanandthereddograntothehillandthemoronsatonit"): ["moron", "stupid"], "-".join("theoldmanandhisreddograntothehillandidiot"): ["idiot"],
+    " ".join("theoldmanandhisreddograntothehill" * 3): [], "ab1" * 20_000: [],
+}
+
+
+@pytest.mark.parametrize("text", LONG)
+def test_length(find, text):
+    assert find(text) == sorted(LONG[text])
