@@ -1,8 +1,8 @@
-"""Operator 1: benchmark decontamination by spaced-seed hashing.
+"""Operator 1: benchmark decontamination by seeds that no accepted overlap lacks.
 
-Fixed masks over a window of words choose the positions that are hashed, so up to a few substituted words leave some
-mask untouched. Window hashes of the documents are matched with those of the benchmark; around each hit the two texts
-are compared along the hit's alignment, and an overlap counts if enough words agree.
+Where one word in five at most is substituted, some run of words between substitutions has a least length; hashes of all
+runs of that length are the seeds. Window hashes of the documents are matched with those of the benchmark; along each
+hit's alignment the two texts are compared, and an overlap counts if enough words agree.
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from .common import _ROLE, _U, keep_rows, map_texts, mix, text_buffers, word_hashes
 
-#: Masks of 13 words, 1 = hashed. Any one substitution, and most pairs, leave at least one mask intact.
-MASKS = ("1111111100000", "0000011111111", "1101011010110", "1011101001101", "1110010111001")
-
-
 @dataclass(frozen=True)
 class Rule:
     """An alignment counts if `least` words (or all of a shorter item) agree in a stretch with at most one word in
@@ -28,19 +24,23 @@ class Rule:
     one_in: int = 5
     gap: int = 2
 
+    def seed(self) -> int:
+        """Words of the longest run that every accepted overlap of at least `least` words has.
 
-def _offsets(mask: str) -> list[int]:
-    return [i for i, c in enumerate(mask) if c == "1"]
+        m substitutions leave m + 1 runs and at least max(least, m (one_in - 1)) words that agree; from m = least on,
+        the second grows no slower than the runs, and the longest run has one_in - 1 words.
+        """
+        return min(-(-max(self.least, m * (self.one_in - 1)) // (m + 1)) for m in range(self.least + self.one_in))
 
 
-def seeds(hashes: np.ndarray, mask: str, role: int) -> np.ndarray:
-    """One hash per window start; windows near the end of the array are the caller's concern."""
-    m = len(hashes) - len(mask) + 1
+def seeds(hashes: np.ndarray, n: int) -> np.ndarray:
+    """One hash of n words per window start; windows near the end of the array are the caller's concern."""
+    m = len(hashes) - n + 1
     if m <= 0:
         return np.zeros(0, _U)
-    total = np.full(m, _ROLE[40 + role], _U)
-    for k, o in enumerate(_offsets(mask)):
-        total = total + hashes[o: o + m] * _ROLE[k]
+    total = np.full(m, _ROLE[40], _U)
+    for k in range(n):
+        total = total + hashes[k: k + m] * _ROLE[k]
     return mix(total)
 
 
@@ -55,43 +55,52 @@ def _strip(texts):
 class Index:
     """Seed hashes and words of a set of benchmark items, sorted for binary search."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
+    def __init__(self, ids: list[int], texts: list[str | None], rule: Rule = Rule()):
         import pyarrow as pa
 
         h, _, _, first = _strip(pa.array([t or "" for t in texts], pa.string()))
-        self.ids, self.words, self.first = np.array(ids, dtype=np.int64), h, first
-        self.tables = []
-        for r, mask in enumerate(MASKS):
-            s = seeds(h, mask, r)
-            item = np.searchsorted(first, np.arange(len(s)), side="right") - 1
-            ok = np.arange(len(s)) + len(mask) <= first[item + 1] if len(s) else np.zeros(0, bool)
-            at = np.flatnonzero(ok)
-            order = np.argsort(s[at], kind="stable")
-            self.tables.append((s[at][order], at[order], item[at][order]))
-        #: items shorter than a mask are matched as a whole
+        self.ids, self.words, self.first, self.rule, self.n = np.array(ids, dtype=np.int64), h, first, rule, rule.seed()
+        s = seeds(h, self.n)
+        item = np.searchsorted(first, np.arange(len(s)), side="right") - 1
         n = np.diff(first)
+        at = np.flatnonzero((np.arange(len(s)) + self.n <= first[item + 1]) & (n[item] >= rule.least)) if len(s) else np.zeros(0, np.int64)
+        at = at[np.argsort(s[at], kind="stable")]
+        self.table, self.at, self.item = s[at], at, item[at]
+        #: all words of items shorter than the least overlap must agree
         self.short = {}
-        for i in np.flatnonzero((n > 0) & (n < len(MASKS[0]))):
+        for i in np.flatnonzero((n > 0) & (n < rule.least)):
             self.short.setdefault(int(n[i]), []).append(int(i))
 
+    def agreeing(self, h: np.ndarray, first: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """The alignments along which at least `least` words agree, compared in runs of bounded size."""
+        d, i, shift = found.T
+        lo = np.maximum(0, -shift)
+        size = np.minimum(self.first[i + 1] - self.first[i], first[d + 1] - first[d] - shift) - lo
+        a, b = first[d] + lo + shift, self.first[i] + lo
+        keep = np.zeros(len(found), bool)
+        for part in np.split(np.arange(len(found)), np.flatnonzero(np.diff(np.cumsum(size) // 4_000_000)) + 1) if len(found) else ():
+            ends = np.cumsum(size[part])
+            step = np.arange(ends[-1]) - np.repeat(ends - size[part], size[part])
+            same = h[np.repeat(a[part], size[part]) + step] == self.words[np.repeat(b[part], size[part]) + step]
+            keep[part] = np.add.reduceat(same.astype(np.int64), ends - size[part]) >= self.rule.least
+        return found[keep]
+
     def hits(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Distinct (document, item, diagonal) with a common seed; the diagonal is document position - item position."""
+        """Distinct (document, item, diagonal) that may overlap; the diagonal is document position - item position."""
         found = []
         doc_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        for r, mask in enumerate(MASKS):
-            table, at, item = self.tables[r]
-            s = seeds(h, mask, r)
-            if not len(s) or not len(table):
-                continue
-            lo = np.searchsorted(table, s)
-            cand = np.flatnonzero((lo < len(table)) & (table[np.minimum(lo, len(table) - 1)] == s))
-            cand = cand[cand + len(mask) <= first[doc_of[cand] + 1]]
-            hi = np.searchsorted(table, s[cand], side="right")
+        s = seeds(h, self.n)
+        if len(s) and len(self.table):
+            lo = np.searchsorted(self.table, s)
+            cand = np.flatnonzero(self.table[np.minimum(lo, len(self.table) - 1)] == s)
+            cand = cand[cand + self.n <= first[doc_of[cand] + 1]]
+            hi = np.searchsorted(self.table, s[cand], side="right")
             reps = hi - lo[cand]
             if reps.sum():
                 which = np.repeat(lo[cand] - np.concatenate([[0], np.cumsum(reps)[:-1]]), reps) + np.arange(reps.sum())
                 pos = np.repeat(cand, reps)
-                found.append(np.stack([doc_of[pos], item[which], (pos - first[doc_of[pos]]) - (at[which] - self.first[item[which]])], axis=1))
+                met = np.stack([doc_of[pos], self.item[which], (pos - first[doc_of[pos]]) - (self.at[which] - self.first[self.item[which]])], axis=1)
+                found.append(self.agreeing(h, first, np.unique(met, axis=0)))
         for n, items in self.short.items():
             for i in items:
                 own = self.words[self.first[i]: self.first[i + 1]]
@@ -112,15 +121,14 @@ class Index:
             return None
         best = None
         for part in np.split(at, np.flatnonzero(np.diff(at) > rule.gap + 1) + 1):
-            # drop loose ends until few enough words are substituted
-            i, j = 0, len(part)
-            while j - i and (part[j - 1] - part[i] + 1 - (j - i)) * rule.one_in > part[j - 1] - part[i] + 1:
-                if j - i > 1 and part[i + 1] - part[i] >= part[j - 1] - part[j - 2]:
-                    i += 1
-                else:
-                    j -= 1
-            if j - i >= min(rule.least, len(b)) and (best is None or j - i > best[0]):
-                best = (int(j - i), int(part[i] + lo + shift), int(part[j - 1] + lo + shift + 1))
+            # most words from i to j with one_in (words that agree) >= (one_in - 1) (words in all)
+            g = rule.one_in * np.arange(len(part)) - (rule.one_in - 1) * part
+            low = np.minimum.accumulate(g)
+            i = np.searchsorted(-low, -(g + 1), side="left")
+            n = np.arange(1, len(part) + 1) - i
+            j = int(np.argmax(n))
+            if n[j] >= min(rule.least, len(b)) and (best is None or n[j] > best[0]):
+                best = (int(n[j]), int(part[i[j]] + lo + shift), int(part[j] + lo + shift + 1))
         return best
 
 
@@ -172,7 +180,7 @@ def _match(docs: DataFrame, ids: list[int], texts: list[str | None], rule: Rule)
         import pyarrow as pa
 
         if not index:
-            index.append(Index(ids, texts))
+            index.append(Index(ids, texts, rule))
         best, n = _best(index[0], batch.column("text"), rule)
         if not best:
             return None
@@ -195,7 +203,7 @@ def _cleaner(ids: list[int], texts: list[str | None], rule: Rule):
 
     def mask(batch):
         if not index:
-            index.append(Index(ids, texts))
+            index.append(Index(ids, texts, rule))
         bad = {d for d, _ in _best(index[0], batch.column("text"), rule)[0]}
         return [d not in bad for d in range(batch.num_rows)]
 
