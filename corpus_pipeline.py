@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lexgraph.llm import decontaminate, lines, minhash, mixing, toxicity
 from lexgraph.llm.common import keep_rows, stored, table
@@ -47,9 +48,21 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many tokens as are left, drawn at 0.98 of the greatest entropy of sources; a document has a row per epoch."""
-    known = docs.where("doc_id is not null")
-    drawn = mixing.mix(known, budget=1.0, entropy=0.98, max_epochs=4.0).select(F.col("doc_id").alias("_id"), "n_tokens", "epoch")
-    return known.join(drawn, known["doc_id"] == F.col("_id")).drop("_id")
+    drawn = mixing.mix(docs, budget=1.0, entropy=0.98, max_epochs=4.0)
+    rows = drawn.select(F.col("doc_id").alias("_id"), "n_tokens", "epoch")
+    out = docs.join(rows.where("_id is not null"), docs["doc_id"] == F.col("_id")).drop("_id")
+    none = docs.where("doc_id is null")
+    if not none.limit(1).count():
+        return out
+    # rows without an id, told apart by source and tokens only when drawn: the first of equal ones are taken in each epoch
+    number = lambda *by: W.partitionBy("_source", "n_tokens", *by)
+    none = none.withColumn("_source", F.col("source")).withColumn("n_tokens", mixing.token_count(F.col("text")))
+    none = none.withColumn("_n", F.row_number().over(number().orderBy(F.xxhash64("text"), "text")))
+    rows = drawn.where("doc_id is null").select(F.col("source").alias("_source"), "n_tokens", "epoch")
+    rows = rows.withColumn("_n", F.row_number().over(number("epoch").orderBy("epoch")))
+    a, b = none.alias("a"), rows.alias("b")
+    same = F.col("a._source").eqNullSafe(F.col("b._source")) & (F.col("a.n_tokens") == F.col("b.n_tokens")) & (F.col("a._n") == F.col("b._n"))
+    return out.unionByName(a.join(b, same).select(*(F.col(f"a.{c}") for c in docs.columns), "a.n_tokens", "b.epoch"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
