@@ -4,13 +4,17 @@ DataFrame operations only. A line is the set of its lower-cased words; two lines
 that matches any earlier one (order: doc_id, line number) is removed. Lines under `least` distinct words are left alone.
 
 1. Equal lines are counted under their first occurrence; the later ones are removed, the first stands for them.
-2. The words of a line are ordered by rarity (frequency class over all texts, then hash). Lines that match share a word
-   of their prefixes; lines are brought together by prefix word. A parity bitmap bounds the difference of two sets.
-3. In every group of a prefix word, a line is compared with a pivot first, the most copied line. Only lines without a
-   close earlier pivot in any of their groups are compared with all earlier lines of the groups, so that a group of near
-   copies costs as many pairs as it has lines. Prefixes are one word longer than needed for one common word, so such
-   pairs must have two.
+2. The words of a line are ordered by rarity (frequency class over all texts, then hash). Lines that match share two
+   words of their prefixes and are brought together by the first that they share; where that word is a very common one,
+   by it and the second. A parity bitmap bounds the difference of two sets.
+3. In every group of a key, a line is compared with a pivot first, the most copied line. Only lines without a close
+   earlier pivot in any of their groups are compared with all earlier lines of the groups, so that a group of near copies
+   costs as many pairs as it has lines.
 4. Pairs are verified on the full sets. A line whose pivots all fail is then compared with everything in its groups.
+
+Null texts have no lines, empty texts one empty line. Lines of any length count whole (up to 2**24 distinct words). Rows
+that repeat a doc_id share their line numbers, so a line removed in one of them is removed in all; rows without a doc_id
+are left alone. Of equal lines the first in order stays, so ties cannot arise. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -21,44 +25,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import stored
-
 PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
 BUCKETS = 1 << 16
+#: A word is very common if its bucket of the frequency table holds this many times the mean of all buckets.
+COMMON = 16
 #: Lines of so many words have bitmaps of 128 bits, shorter ones of 64.
-LONG = 64
-#: Lines that may be broadcast to a scan; more go through the index.
-FEW = 10_000
-#: A pivot is close if the bitmaps differ in at most so many bits, and in one SHARE-th of what a match may differ in.
-CLOSE_BITS, CLOSE_SHARE = 14, 1
+LONG = 96
+
+_WORD = (1 << 32) - 1
+
+
+def _split(line: Column) -> Column:
+    """Lower-cased words between white space, some of them empty."""
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\r"))
+    return F.split(F.lower(F.when(odd, F.translate(line, "\t\x0b\f\r", "    ")).otherwise(line)), " ")
 
 
 def _words(line: Column) -> Column:
-    """Lower-cased words; a leading blank gives one empty word."""
-    return F.split(F.lower(line), "[ \t\x0b\f\r\n]+")
+    """Lower-cased words of a line."""
+    return F.array_remove(_split(line), "")
 
 
-def rarity(docs: DataFrame) -> list[int]:
-    """Quarter-octave frequency class of each hash bucket of words, over all texts; a word's order key starts with it."""
-    word = F.explode(_words(F.col("text")))
-    counts = docs.select(word.alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")).count().collect()
+def rarity(docs: DataFrame) -> tuple[list[int], int]:
+    """Quarter-octave frequency class of each hash bucket of words, over all texts, and the least class of very common
+    words. A word's order key starts with its class."""
+    word = F.explode(_split(F.replace(F.col("text"), F.lit("\n"), F.lit(" "))))
+    counts = docs.select(word.alias("w")).where("w <> ''").groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()
+    # two digits at most: the table stands in the plan of the query, and Spark logs plans
+    grade = lambda n: min(99, 4 * (n.bit_length() - 1) + int(4 * n / (1 << (n.bit_length() - 1))) - 4) if n else 0
     out = [0] * BUCKETS
     for b, n in counts:
-        octave = n.bit_length()
-        out[b] = min(126, 4 * octave + int(4 * n / (1 << octave)))
-    return out
+        out[b] = grade(n)
+    return out, grade(1 + COMMON * sum(n for _, n in counts) // BUCKETS)
 
 
 def _keys(line: Column, classes: Column) -> Column:
     """Distinct words of a line as 64-bit keys in order of rarity: the class in the high byte, then 56 bits of hash."""
-
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
-        return F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-
-    return F.sort_array(F.array_distinct(F.transform(F.array_remove(_words(line), ""), key)))
+    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
+    graded = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))
+    return F.sort_array(F.array_distinct(graded))
 
 
 def _parity(keys: Column, upper: bool = False) -> Column:
@@ -68,133 +75,144 @@ def _parity(keys: Column, upper: bool = False) -> Column:
     return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", one(x), x.bitwiseAND(F.lit(63)).cast("int"))))
 
 
+def _signatures(keys: Column, n: Column, common: int, percent: int) -> Column:
+    """Position and word of each word of the prefix, as position << 40 | word; a very common word goes with each of the
+    words after it, up to one past the prefix."""
+    k = (n * (100 - percent) / 100 + 1e-9).cast("int") + 1
+    first = F.lit(common << 56)
+    item = lambda i, w: F.call_function("shiftleft", i.cast("bigint"), F.lit(40)).bitwiseOR(w.bitwiseAND(F.lit(_WORD)))
+    prefix = F.slice(keys, F.lit(1), k)
+    plain = F.transform(prefix, lambda x, i: item(i, x))
+    paired = F.flatten(F.transform(prefix, lambda x, i: F.when(x < first, F.array(item(i, x))).otherwise(
+        F.transform(F.slice(keys, i + 2, F.greatest(F.lit(0), F.least(n, k + 1) - i - 1)), lambda y: item(i, F.xxhash64(x, y))))))
+    return F.when(F.get(keys, F.least(n, k) - 1) < first, plain).otherwise(paired)
+
+
 def _fields(of: str) -> dict[str, str]:
     """SQL of the fields of an index entry whose columns start with `of`."""
     return {
-        "d": f"{of}d", "l": f"cast({of}ul & 4294967295 as int)", "t": f"{of}t", "u": f"cast(shiftright({of}ul, 32) as int)", "m": f"{of}m", "h": f"{of}h",
-        "n": f"(shiftright({of}cnp, 21) & 2097151)", "p": f"({of}cnp & 2097151)", "c": f"shiftright({of}cnp, 42)",
+        "d": f"{of}d", "t": f"{of}t", "m": f"{of}m", "h": f"{of}h", "u": f"cast(shiftrightunsigned({of}ucnp, 56) as int)",
+        "c": f"(shiftright({of}ucnp, 48) & 255)", "n": f"(shiftright({of}ucnp, 24) & 16777215)", "p": f"({of}ucnp & 16777215)",
     }
 
 
-def _may_match(x: dict[str, str], y: dict[str, str], percent: int, share: int = 1) -> str:
-    """Order, length, positional and bitmap filters of an entry x and one of an earlier line y, as SQL; the bitmaps may
-    differ in one `share`-th of the words that may differ."""
+def _distance(x: dict[str, str], y: dict[str, str]) -> str:
+    """Bits in which the bitmaps of two entries differ, as SQL."""
     return (
-        f"({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['l']} < {x['l']}))"
-        f" and {x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
-        f" and (least({x['p']}, {y['p']}) + least({x['n']} - {x['p']}, {y['n']} - {y['p']})) * {100 + percent} >= ({x['n']} + {y['n']}) * {percent}"
-        f" and (case when {x['n']} >= {LONG} and {y['n']} >= {LONG} then bit_count({x['m']} ^ {y['m']} ^ {x['h']} ^ {y['h']}) + bit_count({x['h']} ^ {y['h']})"
-        f" else bit_count({x['m']} ^ {y['m']}) end) * {(100 + percent) * share} <= ({x['n']} + {y['n']}) * {100 - percent}"
+        f"(case when {x['n']} >= {LONG} and {y['n']} >= {LONG} then bit_count({x['m']} ^ {y['m']} ^ {x['h']} ^ {y['h']}) + bit_count({x['h']} ^ {y['h']})"
+        f" else bit_count({x['m']} ^ {y['m']}) end)"
+    )
+
+
+def _may_match(x: dict[str, str], y: dict[str, str], percent: int) -> str:
+    """Length, bitmap, positional and order filters of an entry x and one of a line y that is earlier or of the same
+    document, as SQL. The word of the entries counts as the first that the lines share, so all they share follows it."""
+    return (
+        f"{x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
+        f" and {_distance(x, y)} * {100 + percent} <= ({x['n']} + {y['n']}) * {100 - percent}"
+        f" and least({x['n']} - {x['p']}, {y['n']} - {y['p']}) * {100 + percent} >= ({x['n']} + {y['n']}) * {percent}"
+        f" and ({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['t']} <> {x['t']}))"
     )
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line and its 88-bit hash (t, u) of documents that have an id."""
+    """doc_id, line_no, line and its 72-bit hash (t, u) of documents that have an id."""
     out = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return out.select("doc_id", "line_no", "line", F.xxhash64("line").alias("t"), F.shiftright(F.hash("line"), 8).alias("u"))
+    return out.select("doc_id", "line_no", "line", F.xxhash64("line").alias("t"), F.shiftrightunsigned(F.hash("line"), 24).alias("u"))
 
 
-def _entries(df: DataFrame, classes: Column, percent: int, least: int, *also: str) -> DataFrame:
-    """Prefix index of lines (t, u, d, l, copies, line): word (40 bits), hash and place of the line, bitmap, and copies,
-    size and position in one number."""
-    head = lambda k: F.when(F.size(k) >= least, (F.size(k) * (100 - percent) / 100 + 1e-9).cast("int") + 2).otherwise(0)
+def _entries(distinct: DataFrame, classes: Column, common: int, percent: int, least: int) -> DataFrame:
+    """Prefix index of distinct lines: w (key), t (hash), d (document), m and h (bitmap) and ucnp (more of the hash,
+    copies, size and position in one number)."""
     # the word keys are a lambda's variable and then a generator's output, so they are computed once a line
-    view = F.transform(F.array(_keys(F.col("line"), classes)), lambda k: F.struct(F.size(k).alias("n"), _parity(k).alias("m"), F.when(F.size(k) >= LONG, _parity(k, True)).otherwise(F.lit(0).cast("bigint")).alias("h"), F.slice(k, F.lit(1), head(k)).alias("prefix")))
-    keyed = df.select("t", "u", "d", "l", "copies", *also, F.inline(view))
-    out = keyed.select("t", "d", "m", "h", *also, F.expr("(cast(u as bigint) << 32) | l").alias("ul"), F.expr("(cast(least(copies, 1048575) as bigint) << 42) | (cast(n as bigint) << 21)").alias("cn"), F.posexplode("prefix").alias("p", "w"))
-    return out.select(F.col("w").bitwiseAND(F.lit((1 << 40) - 1)).alias("w"), "t", "ul", "d", "m", "h", (F.col("cn") + F.col("p")).alias("cnp"), *also)
+    keyed = distinct.select("t", "u", "r", "copies", F.explode(F.array(_keys(F.col("line"), classes))).alias("k")).withColumn("n", F.size("k")).where(F.col("n") >= least)
+    keyed = keyed.select(
+        "t", F.col("r.doc_id").alias("d"), _parity(F.col("k")).alias("m"),
+        F.when(F.col("n") >= LONG, _parity(F.col("k"), True)).otherwise(F.lit(0).cast("bigint")).alias("h"),
+        F.expr("(cast(u as bigint) << 56) | (least(copies, 255) << 48) | (cast(n as bigint) << 24)").alias("ucn"), _signatures(F.col("k"), F.col("n"), common, percent).alias("s"),
+    )
+    # a second step, so that the bitmaps are not computed again for each word
+    keyed = keyed.select("t", "d", "m", "h", "ucn", F.explode("s").alias("pw"))
+    # none of the columns is ever null, but only coalesce says so: no filter on nulls then tells one use from another
+    sure = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    out = {"w": F.col("pw").bitwiseAND(F.lit(_WORD)), "d": F.col("d"), "m": F.col("m"), "h": F.col("h"), "ucnp": F.col("ucn").bitwiseOR(F.shiftright("pw", 40))}
+    return keyed.select("t", *(sure(c).alias(name) for name, c in out.items()))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, line_no of every line that matches an earlier one. docs: doc_id (the key) and text.
-
-    Null texts have no lines; rows that repeat a doc_id share their line numbers, so a line removed in one of them is
-    removed in all; lines of one text are compared like lines of different ones.
-    """
-    classes = _ints(rarity(docs))
+    """doc_id, line_no of every line that matches an earlier one. docs: doc_id (the key) and text."""
+    grades, common = rarity(docs)
+    classes = F.from_json(F.lit(json.dumps(grades, separators=(",", ":"))), "array<tinyint>")
     every = lines(docs)
     distinct = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count("*").alias("copies"), F.first("line").alias("line"))
-    entries = _entries(distinct.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "copies", "line"), classes, percent, least)
-    # one exchange by word serves the windows and both sides of the join, which therefore use the same rows and columns
-    entries = entries.where(" and ".join(f"{c} is not null" for c in entries.columns)).repartition("w")
+    # one exchange by word serves the windows and both sides of the joins, which therefore use the same rows and columns
+    entries = _entries(distinct, classes, common, percent, least).repartition("w")
+    columns = ("w", "t", "d", "m", "h", "ucnp")
+    own, x, other = _fields(""), _fields("x."), _fields("o_")
+    me = F.struct(F.expr(own["c"]).alias("c"), (-F.col("d")).alias("nd"), "d", "t", "m", "h", "ucnp")
     whole = W.partitionBy("w")
-    me = F.struct(F.shiftright("cnp", 42).alias("c"), (-F.col("d")).alias("nd"), "d", "ul", "t", "m", "h", "cnp")
     grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(me).over(whole)}).where("size > 1")
-    own, x = _fields(""), _fields("x.")
-    # a close pivot has few enough differing bits on the safe side and far fewer than unrelated lines
-    close = f"{_may_match(own, x, percent, CLOSE_SHARE)} and bit_count(m ^ x.m) <= {CLOSE_BITS}"
-    grouped = grouped.withColumn("pivot", F.expr(f"coalesce({close}, false)"))
-    line, other = [F.expr(own[c]).alias(c) for c in "tu"], _fields("o_")
-    by_pivot = grouped.where("pivot").select(*line, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"), F.lit(1).alias("k"))
-    a, b = grouped.where("not pivot").select("w", "t", "ul", "d", "m", "h", "cnp"), entries.select(*(F.col(c).alias(f"o_{c}") for c in ("w", "t", "ul", "d", "m", "h", "cnp")))
-    by_all = a.join(b, F.expr(f"w = o_w and cnp + o_cnp > 0 and {_may_match(own, other, percent)}"))
-    by_all = by_all.select(*line, *(F.expr(other[c]).alias(f"o{c}") for c in "tu"), F.lit(0).alias("k"))
-    # per pair the common prefix words; per line whether it has a close pivot, in which case only pivots are verified
-    pairs = by_pivot.unionByName(by_all).groupBy("t", "u", "ot", "ou").agg(F.max("k").alias("k"), F.count("*").alias("words"))
-    pairs = pairs.withColumn("closest", F.max("k").over(W.partitionBy("t", "u"))).where("k = closest and (k = 1 or words >= 2)").select("t", "u", "ot", "ou", "k")
-    checked = stored(_compared(pairs, distinct, percent))
-    late = checked.where("ok").select(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).distinct()
-
-    # lines with pivots that all failed are compared with all of their groups
-    open_ = checked.groupBy("t", "u").agg(F.max("k").alias("k"), F.max("ok").alias("ok"), F.first("d").alias("_d"), F.first("l").alias("_l")).where("k = 1 and not ok").select(F.col("t").alias("_t"), F.col("u").alias("_u"), "_d", "_l")
-    n_open = open_.limit(FEW + 1).count()
-    if 0 < n_open <= FEW:
-        late = late.unionByName(_recheck(every, open_, classes, percent, least)).distinct()
-    elif n_open:
-        again = entries.join(open_, (F.col("t") == F.col("_t")) & (F.expr(own["u"]) == F.col("_u")), "left_semi")
-        rest = again.join(b, F.expr(f"w = o_w and {_may_match(own, other, percent)}")).select(*line, *(F.expr(other[c]).alias(f"o{c}") for c in "tu"), F.lit(0).alias("k")).distinct()
-        more = _compared(rest, distinct, percent).where("ok").select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
-        late = late.unionByName(more).distinct()
-
-    # later copies of a line: found by hash alone, then judged by the words of one of them
-    firsts = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").select("t", "u", "first")
-    copies = every.join(firsts, ["t", "u"]).where("doc_id <> first.doc_id or line_no <> first.line_no")
-    copies = copies.where(F.size(F.array_remove(F.array_distinct(_words(F.col("line"))), "")) >= least).select("doc_id", "line_no")
+    grouped = grouped.withColumn("pivot", F.expr(f"coalesce({_may_match(own, x, percent)}, false)"))
+    named = lambda df: df.select(*(F.col(c).alias(f"o_{c}") for c in df.columns))
+
+    # per line: its closest pivot, and its rows that have one or may match any other line of their groups; both uses below
+    # name all columns, so that one exchange serves them
+    far = F.expr(f"{_distance(own, x)} * 4096 div ({own['n']} + {x['n']})").alias("far")
+    rows = grouped.select(*columns, F.expr(own["u"]).alias("u"), "pivot", F.when(F.col("pivot"), F.struct(far, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"))).alias("x"))
+    rows = rows.join(named(entries), F.expr(f"w = o_w and (pivot or {_may_match(own, other, percent)})"), "left_semi")
+    found = rows.groupBy("t", "u").agg(F.min("x").alias("x"), F.collect_list(F.struct("w", "d", "m", "h", "ucnp")).alias("rows"))
+    checked = _compared(found.where("x is not null and size(rows) > 0").select("t", "u", "x.ot", "x.ou"), distinct, percent).where("ok")
+    late = checked.select("d", "l")
+
+    # the rows of lines that match no pivot, and in turn all lines that may match one of these, meet with their words, and
+    # it is asked whether any matches: nowhere is a row made for a pair. d and l are used as above
+    words = F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))
+    full = lambda rows: rows.join(distinct.where("copies > 0").select("t", "u", "r", F.array_distinct(words).alias("words")), ["t", "u"])
+    done = checked.where("d is not null or l is not null").select("t", "u")
+    open_ = found.where("x is null or x.far >= 0").join(done, ["t", "u"], "left_anti").select("t", "u", F.inline("rows"))
+    # the optimiser would move a semi-join in front of the exchange, but not past this filter, which is always true
+    near = entries.where(F.spark_partition_id() >= 0).join(named(open_.select(*columns)), F.expr(f"w = o_w and {_may_match(other, own, percent)}"), "left_semi")
+    shared = "size(array_intersect(words, o_words))"
+    match = f"w = o_w and {_may_match(own, other, percent)} and o_r < r and {shared} * 100 >= (size(words) + size(o_words) - {shared}) * {percent}"
+    more = full(open_).join(named(full(near.withColumn("u", F.expr(own["u"])))), F.expr(match), "left_semi").select(F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"))
+    late = late.unionByName(more).distinct().select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
+
+    # later copies of a line: found by hash
+    firsts = distinct.where((F.col("copies") > 1) & (F.size(F.array_distinct(_words(F.col("line")))) >= least)).select("t", "u", "r")
+    copies = every.select("doc_id", "line_no", "t", "u").join(firsts, ["t", "u"]).where("doc_id <> r.doc_id or line_no <> r.line_no").select("doc_id", "line_no")
     return late.unionByName(copies)
 
 
-def _recheck(every: DataFrame, open_: DataFrame, classes: Column, percent: int, least: int) -> DataFrame:
-    """The same for at most FEW lines, which are broadcast to a scan of all lines: nothing is shuffled."""
-    mine = every.join(F.broadcast(open_), (F.col("t") == F.col("_t")) & (F.col("u") == F.col("_u")) & (F.col("doc_id") == F.col("_d")) & (F.col("line_no") == F.col("_l")))
-    shape = lambda df: df.select("t", "u", F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.lit(1).alias("copies"), "line")
-    few = _entries(shape(mine), classes, percent, least, "line")
-    few = few.select(*(F.col(c).alias(f"x_{c}") for c in few.columns))
-    all_ = _entries(shape(every), classes, percent, least, "line")
-    words = lambda c: F.array_remove(F.array_distinct(_words(F.col(c))), "")
-    hit = all_.join(F.broadcast(few), F.expr(f"w = x_w and {_may_match(_fields('x_'), _fields(''), percent)}")).select(F.expr(_fields("x_")["d"]).alias("doc_id"), F.expr(_fields("x_")["l"]).alias("line_no"), words("x_line").alias("a"), words("line").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    return hit.where(common * 100 >= (F.size("a") + F.size("b") - common) * percent).select("doc_id", "line_no").distinct()
-
-
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (t, u) - earlier (ot, ou) with d, l of the later line and ok: whether the word sets reach the similarity."""
-    words = lambda c: F.array_remove(F.array_distinct(_words(F.col(c))), "")
-    other = sets.select(F.col("t").alias("ot"), F.col("u").alias("ou"), F.col("r").alias("o_r"), F.col("copies").alias("o_copies"), F.col("line").alias("oline"))
-    full = pairs.join(sets, ["t", "u"]).join(other, ["ot", "ou"])
-    # both sides use all columns of the distinct lines, so that one exchange serves them and the index
-    full = full.where(F.col("copies") + F.col("o_copies") + F.col("r.line_no") + F.col("o_r.line_no") >= 0)
-    full = full.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), "k", words("line").alias("a"), words("oline").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    return full.select("t", "u", "d", "l", "k", (common * 100 >= (F.size("a") + F.size("b") - common) * percent).alias("ok"))
-
-
-def _ints(values: list[int]) -> Column:
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<int>")
+def _compared(pairs: DataFrame, distinct: DataFrame, percent: int) -> DataFrame:
+    """Pairs (t, u) and (ot, ou) with d, l of the first line and ok: whether the second is earlier and the word sets reach
+    the similarity."""
+    side = F.explode(F.array(F.struct(F.lit(True).alias("mine"), "t", "u"), F.struct(F.lit(False).alias("mine"), F.col("ot").alias("t"), F.col("ou").alias("u"))))
+    sides = pairs.select(F.struct("t", "u", "ot", "ou").alias("pair"), side.alias("s")).select("pair", "s.mine", "s.t", "s.u")
+    # all columns of the distinct lines are used, so that the exchange that made the index serves here too
+    full = sides.join(distinct, ["t", "u"]).where("copies > 0")
+    of = lambda mine, c: F.max(F.when(F.col("mine") == mine, F.col(c)))
+    both = full.groupBy("pair").agg(of(True, "r").alias("r"), of(False, "r").alias("before"), of(True, "line").alias("a"), of(False, "line").alias("b"))
+    both = both.select("pair.t", "pair.u", "r", "before", *(F.array_distinct(_words(F.col(c))).alias(c) for c in "ab"))
+    shared = F.size(F.array_intersect("a", "b"))
+    ok = (F.col("before") < F.col("r")) & (shared * 100 >= (F.size("a") + F.size("b") - shared) * percent)
+    return both.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), ok.alias("ok"))
 
 
 def report(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """doc_id, n_lines, n_removed and the removed line numbers (comma-joined, in order), one row per doc_id."""
     gone = removed_lines(docs, percent, least).distinct().groupBy("doc_id").agg(F.count("*").alias("n_removed"), F.array_join(F.transform(F.array_sort(F.collect_list("line_no")), lambda x: x.cast("string")), ",").alias("removed"))
-    own = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).alias("n"))
+    breaks = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    own = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(breaks + 1, F.lit(0))).alias("n"))
     out = own.join(gone, "doc_id", "left")
-    return out.select("doc_id", F.greatest("n", F.lit(0)).cast("bigint").alias("n_lines"), F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
+    return out.select("doc_id", F.col("n").cast("bigint").alias("n_lines"), F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
 def clean(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """docs with the removed lines taken out of text; all rows and columns stay."""
-    gone = removed_lines(docs, percent, least).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
-    joined = docs.join(gone, docs["doc_id"] == F.col("_id"), "left")
-    parts = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    gone = removed_lines(docs, percent, least).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    # both sides under one name each, so that no column of docs can clash
+    joined = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row")).join(gone.withColumnRenamed("doc_id", "id"), "id", "left")
+    parts = F.split("row.text", "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
+    return joined.select(*((text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns))
