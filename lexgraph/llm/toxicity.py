@@ -15,13 +15,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, text_buffers
+from .common import durable, map_texts, text_buffers
 
 #: Labelled rows used for the fit at most, by hash order of doc_id; the bound is this parameter.
 SAMPLE = 20_000
 #: Entries of the learnt lexicon at most (a feature table, not a candidate cap: the strongest by likelihood ratio).
 LEXICON = 20_000
-#: Letters a single word may have; what is longer is restored as a row of words.
+#: Letters up to which a token is read as one word; what is longer is restored as a row of words.
 LONGEST = 40
 
 #: Signs that stand for letters.
@@ -108,24 +108,43 @@ class Channel:
         return self.search(options, k)
 
     def search(self, lattice: list[list[tuple[str, float]]], k: int) -> list[str]:
-        """Viterbi search over a lattice; hypotheses that agree in their last letters are one."""
-        beams: list[tuple] = [(0.0, "", 0, 0, None)]  # score, last letters, last two codes, chain of all pieces
+        """k-best Viterbi search: a state is the last two letters, which is all that the model looks at, and each state
+        keeps its k likeliest texts. Nothing else is cut, so these are the k likeliest texts of the whole lattice."""
+        states: dict[tuple[int, int], list[tuple]] = {(0, 0): [(0.0, 0, None)]}  # score, number of the text, chain of pieces
         for options in lattice:
-            best: dict[tuple[int, int, str], tuple] = {}
-            for s, text, a, b, chain in beams:
+            moved: dict[tuple[int, int], list[tuple]] = {}
+            for (a, b), paths in states.items():
                 for letters, cost in options:
-                    t, x, y = s + cost, a, b
-                    for ch in letters:
-                        c = ord(ch) - 96 if "a" <= ch <= "z" else 0 if ch == " " else 27
-                        t += self.log_p[x][y][c]
+                    x, y = a, b
+                    codes = [ord(ch) - 96 if "a" <= ch <= "z" else 0 if ch == " " else 27 for ch in letters]
+                    for c in codes:
+                        cost += self.log_p[x][y][c]
                         x, y = y, c
-                    tail = (text + letters)[-LONGEST:]
-                    key = (x, y, tail)
-                    if key not in best or best[key][0] < t:
-                        best[key] = (t, tail, x, y, (chain, letters) if letters else chain)
-            beams = sorted(best.values(), key=lambda h: h[:2], reverse=True)[: 8 * k]
-        ends = sorted(((s + self.log_p[a][b][0], text, chain) for s, text, a, b, chain in beams), key=lambda h: h[:2], reverse=True)[:k]
-        return [_unwound(chain) for _, _, chain in ends if chain]
+                    to = moved.setdefault((x, y), [])
+                    for s, number, chain in paths:
+                        for ch in letters:
+                            number = (number * _MULTIPLIER + ord(ch)) & _MASK
+                        to.append((s + cost, number, (chain, letters) if letters else chain))
+            states = {at: _likeliest(paths, k) for at, paths in moved.items()}
+        ends = [(s + self.log_p[a][b][0], number, chain) for (a, b), paths in states.items() for s, number, chain in paths]
+        return [_unwound(chain) for _, _, chain in _likeliest(ends, k) if chain]
+
+
+#: Texts of a lattice are told apart by a polynomial number modulo 2**61.
+_MULTIPLIER, _MASK = 0x9E3779B97F4A7C15, (1 << 61) - 1
+
+
+def _likeliest(paths: list[tuple], k: int) -> list[tuple]:
+    """The k likeliest paths of different texts; ties by the text's number."""
+    if len(paths) == 1:
+        return paths
+    out: dict[int, tuple] = {}
+    for path in sorted(paths, key=lambda p: (-p[0], p[1])):
+        if path[1] not in out:
+            out[path[1]] = path
+            if len(out) == k:
+                break
+    return list(out.values())
 
 
 def _unwound(chain) -> str:
@@ -307,20 +326,18 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 
     one = lambda c, y: F.sum(F.when(F.col("y") == y, F.col(c)).otherwise(0))
     per = own.where("part > 0").select("text", "y").mapInArrow(cue_counts, "cue string, y int, n bigint, d bigint")
-    per = per.groupBy("cue").agg(one("n", 1).alias("a"), one("n", 0).alias("b"), one("d", 1).alias("d"))
-    got = per.where("d >= 5 or cue = '\x00'").where("cue = '\x00' or a > b / 20").collect()
-    whole = next((r for r in got if r.cue == "\x00"), None)
+    per = durable(per.groupBy("cue").agg(one("n", 1).alias("a"), one("n", 0).alias("b"), one("d", 1).alias("d")).where("a > 0 and (d >= 5 or cue = '\x00')"))
+    whole = per.where("cue = '\x00'").select(F.col("a").cast("double").alias("wa"), F.col("b").cast("double").alias("wb")).where("a > 0 and b > 0").first()
     lexicon: dict[str, float] = {}
-    if whole and whole.a and whole.b:
-        ranked = []
-        for r in got:
-            if r.cue != "\x00":
-                ra, rb = (r.a + 0.1) / whole.a, (r.b + 0.5) / whole.b
-                e = (r.a + r.b) / (whole.a + whole.b)
-                g = 2 * (r.a * np.log(r.a / (whole.a * e)) + (r.b * np.log(r.b / (whole.b * e)) if r.b else 0))
-                if ra > 4 * rb and g > 60:
-                    ranked.append((-g, r.cue, float(min(np.log(ra / rb), 6.0))))
-        lexicon = {c: w for _, c, w in sorted(ranked)[:LEXICON]}
+    if whole:
+        # likelihood ratio of a word's rates in both classes; the strongest LEXICON of those over both bounds are kept
+        wa, wb = F.lit(whole.wa), F.lit(whole.wb)
+        e = (F.col("a") + F.col("b")) / (wa + wb)
+        part = lambda n, w: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (w * e))).otherwise(0.0)
+        ratio = ((F.col("a") + 0.1) / wa) / ((F.col("b") + 0.5) / wb)
+        ranked = per.where("cue <> '\x00'").select("cue", (2 * (part("a", wa) + part("b", wb))).alias("g"), ratio.alias("ratio"))
+        best = ranked.where("g > 60 and ratio > 4").orderBy(F.desc("g"), "cue").limit(LEXICON)
+        lexicon = {r.cue: float(min(np.log(r.ratio), 6.0)) for r in best.collect()}
     raw = Model(counts, lexicon, np.zeros(4))
 
     def evidence(batches):
