@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import stored
+
 PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
@@ -209,7 +211,8 @@ def report(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) ->
 
 def clean(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """docs with the removed lines taken out of text; all rows and columns stay."""
-    gone = removed_lines(docs, percent, least).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
+    # stored first, so that the shuffle files of the search are gone before the texts are shuffled
+    gone = stored(removed_lines(docs, percent, least)).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
     # both sides under one name each, so that no column of docs can clash
     joined = docs.select(F.col("doc_id").alias("id"), F.struct(*docs.columns).alias("row")).join(gone.withColumnRenamed("doc_id", "id"), "id", "left")
     parts = F.split("row.text", "\n")
