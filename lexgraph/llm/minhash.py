@@ -20,8 +20,8 @@ from .common import _U, components, durable, map_texts, mix, ngrams, one_per_id,
 M, BANDS, ROWS, BASE, RATE, TOP = 256, 32, 4, 1.1, 20.0, 254
 #: A pair goes to verification unless its estimate is this far (four standard errors) under the threshold.
 SLACK = 0.1
-#: Members of a bucket, and documents of a family, that one task compares; more are dealt to pairs of blocks.
-BLOCK = 1024
+#: Documents of a family that one block holds at most (on average), and shingles; more are dealt to pairs of blocks.
+BLOCK, SHINGLES = 1024, 4_000_000
 
 _ODD = mix(np.arange(1, M + 1, dtype=_U) * _U(0x9FB21C651E98DF25)) | _U(1)
 _ADD = mix(np.arange(1, M + 1, dtype=_U) * _U(0xC6BC279692B5CC83))
@@ -92,10 +92,10 @@ def sketches(docs: DataFrame, k: int = 4) -> DataFrame:
     return map_texts(docs, rows, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, regs binary")
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+def _estimated(pairs: DataFrame, classes: DataFrame, percent: int, least: float) -> DataFrame:
     """Pairs (a, b) whose estimated similarity may reach the threshold, with the estimate."""
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    full = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("na * 100 >= nb * 80 and nb * 100 >= na * 80")
+    full = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(f"na * 100 >= nb * {percent} and nb * 100 >= na * {percent}")
 
     def rows(batches):
         import pyarrow as pa
@@ -136,84 +136,75 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return full.select("a", "b", "ta", "tb").mapInArrow(rows, "a bigint, b bigint")
 
 
-def _blocks(rows: DataFrame, group: list[str], member: str, block: int) -> DataFrame:
-    """Deals every group's rows to tasks (low, high): a row's own block (side) meets itself and each other block once."""
-    sizes = rows.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("nb"))
-    dealt = rows.join(sizes, group).withColumn("side", F.pmod(F.xxhash64(member), F.col("nb")).cast("int"))
-    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    return dealt.withColumns({"low": F.least("side", "o"), "high": F.greatest("side", "o")}).drop("o", "nb")
+def _search(k: int, percent: int, least: float):
+    """Links of a family between two of its blocks, as a spanning forest of what they join.
 
-
-def _bucket(least: float):
-    """Pairs of different components in a bucket (or two of its blocks) whose estimate reaches `least`; a pair is given
-    in the first band that it shares only, and pairs with the bucket's pivot have been verified before."""
+    A pair is looked at if it shares a band, lies in different components and may qualify by size; those whose joint
+    estimate reaches `least` are verified on the full sets, likeliest first. What a found link has joined is one component
+    from then on, so links are as few as the rows, and a row of near copies costs one verification.
+    """
 
     def run(table):
         import pyarrow as pa
 
-        rep, comp, n, side = (table.column(c).to_numpy() for c in ("rep", "c", "n", "side"))
+        rep, n, comp = (table.column(c).to_numpy() for c in ("rep", "n", "c"))
+        side, main = (table.column(c).to_numpy(zero_copy_only=False) for c in ("side", "main"))
+        low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
         regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint8).reshape(-1, M)
-        band, pivot, cross = (table.column(c)[0].as_py() for c in ("band", "pivot", "cross"))
-        words = np.ascontiguousarray(regs[:, : BANDS * ROWS]).view(np.uint32)  # a band in one number
-        order = np.argsort(rep, kind="stable")
-        out_a, out_b = [], []
-        for i in order:
-            if rep[i] == pivot:
-                continue
-            ok = (rep > rep[i]) & (comp != comp[i]) & (rep != pivot) & (n * 100 >= n[i] * 80) & (n[i] * 100 >= n * 80)
-            if cross:
+        bands = np.ascontiguousarray(regs[:, : BANDS * ROWS]).view(np.uint32)  # a band in one number
+        texts, sets = table.column("text"), {}
+        _, group = np.unique(comp, return_inverse=True)
+        out: list[tuple[int, int]] = []
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = text_sets(texts.slice(i, 1), k)[0]
+            return sets[i]
+
+        for i in np.lexsort((rep, main)):
+            if main[i]:
+                break  # the main component's rows are only looked up
+            ok = (group != group[i]) & (main | (rep > rep[i])) & (n * 100 >= n[i] * percent) & (n[i] * 100 >= n * percent)
+            if low != high:
                 ok &= side != side[i]
             j = np.flatnonzero(ok)
-            j = j[~(words[j, :band] == words[i, :band]).any(axis=1)] if band else j
-            if len(j):
-                e = joint_estimate(np.broadcast_to(regs[i], (len(j), M)), regs[j], np.full(len(j), float(n[i])), n[j].astype(float))
-                j = j[e >= least]
-                out_a.append(np.full(len(j), rep[i]))
-                out_b.append(rep[j])
-        flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-        a = flat(out_a)
-        return pa.Table.from_arrays([pa.array(np.full(len(a), table.column("family")[0].as_py()), pa.int64()), a, flat(out_b)], ["family", "a", "b"])
-
-    return run
-
-
-def _family(k: int, percent: int):
-    """Verifies a family's pairs between two blocks; every text comes once per pair of blocks, not per pair."""
-
-    def run(key, pairs, texts):
-        import pyarrow as pa
-
-        ids = texts.column("doc_id").to_pylist()
-        sets = dict(zip(ids, text_sets(texts.column("text"), k) if ids else [], strict=True))
-        keep = []
-        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
-            s, t = sets.get(a), sets.get(b)
-            common = len(np.intersect1d(s, t, assume_unique=True)) if s is not None and t is not None else 0
-            keep.append(common > 0 and 100 * common >= percent * (len(s) + len(t) - common))
-        return pa.Table.from_arrays([pairs.column("a").combine_chunks(), pairs.column("b").combine_chunks()], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            j = j[(bands[j] == bands[i]).any(axis=1)]
+            if not len(j):
+                continue
+            e = joint_estimate(np.broadcast_to(regs[i], (len(j), M)), regs[j], np.full(len(j), float(n[i])), n[j].astype(float))
+            for x in j[np.argsort(-e, kind="stable")][: int((e >= least).sum())]:
+                if group[x] == group[i]:
+                    continue
+                a, b = of(i), of(x)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if common and 100 * common >= percent * (len(a) + len(b) - common):
+                    out.append((int(rep[i]), int(rep[x])))
+                    group[group == group[x]] = group[i]
+        return pa.Table.from_arrays([pa.array([p[c] for p in out], pa.int64()) for c in (0, 1)], ["a", "b"])
 
     return run
 
 
 def _across(shared: DataFrame, label: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int, least: float) -> DataFrame:
-    """Verified pairs among all those that share a bucket and lie in different components."""
+    """Verified links among all pairs that share a bucket and lie in different components, as forests.
+
+    Buckets whose pivots lie in one component form a family. Its rows outside that component (the rest) are compared with
+    its rows inside it (the main ones) and with each other, in pairs of blocks; two main rows never are.
+    """
     of = label.select(F.col("node").alias("rep"), "component")
-    placed = shared.join(of, "rep", "left").select("key", "band", "rep", "pivot", F.coalesce("component", "rep").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    placed = durable(placed.join(mixed, "key", "left_semi"))
-    root = placed.where("rep = pivot").select("key", F.col("c").alias("family"))
-    rows = _blocks(placed.join(root, "key"), ["key"], "rep", BLOCK)
-    rows = rows.join(classes.select("rep", "n", "regs"), "rep").withColumn("cross", F.col("low") != F.col("high"))
-    found = durable(rows.groupBy("key", "low", "high").applyInArrow(_bucket(least), "family bigint, a bigint, b bigint"))
-    pairs = found.groupBy("a", "b").agg(F.min("family").alias("family"))
-    sizes = pairs.select("family", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    nb = sizes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
-    block = lambda c: F.pmod(F.xxhash64(c), F.col("nb")).cast("int")
-    dealt = pairs.join(nb, "family").select("family", F.least(block("a"), block("b")).alias("low"), F.greatest(block("a"), block("b")).alias("high"), "a", "b")
-    dealt = durable(dealt)
-    needed = dealt.select("family", "low", "high", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sent = needed.join(texts.select("doc_id", "text"), "doc_id").select(F.col("family").alias("f"), F.col("low").alias("l"), F.col("high").alias("h"), "doc_id", "text")
-    return dealt.groupBy("family", "low", "high").cogroup(sent.groupBy("f", "l", "h")).applyInArrow(_family(k, percent), "a bigint, b bigint")
+    placed = shared.join(of, "rep", "left").select("key", "rep", "pivot", F.coalesce("component", "rep").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.when(F.col("rep") == F.col("pivot"), F.col("c"))).alias("family"))
+    members = durable(placed.join(mixed.where("lo < hi").select("key", "family"), "key").select("family", "rep", "c").distinct())
+    rows = members.join(classes.select("rep", "n", "regs"), "rep").withColumn("main", F.col("c") == F.col("family"))
+    count = lambda main: F.greatest(F.ceil(F.sum(F.when(F.col("main") == main, 1).otherwise(0)) / BLOCK), F.ceil(F.sum(F.when(F.col("main") == main, F.col("n")).otherwise(0)) / SHINGLES)).cast("int")
+    blocks = rows.groupBy("family").agg(count(False).alias("nr"), count(True).alias("nm"))
+    # blocks of the rest are numbered from 0, those of the main rows after them
+    side = F.when(F.col("main"), F.col("nr") + F.pmod(F.xxhash64("rep"), F.col("nm"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("nr"))).cast("int")
+    dealt = rows.join(blocks, "family").withColumn("side", side)
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.when(F.col("main"), F.col("nr")).otherwise(F.col("nr") + F.col("nm")) - 1)))
+    dealt = dealt.select("family", "rep", "c", "n", "regs", "main", "side", F.least("side", "o").alias("low"), F.greatest("side", "o").alias("high"))
+    full = dealt.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    return full.groupBy("family", "low", "high").applyInArrow(_search(k, percent, least), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
@@ -237,7 +228,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     groups = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
     shared = durable(keyed.join(groups, "key"))
     pairs = shared.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    pairs = durable(_estimated(pairs, classes, least))
+    pairs = durable(_estimated(pairs, classes, percent, least))
     best = pairs.groupBy("a").agg(F.max(F.struct("e", (-F.col("b")).alias("m"))).alias("x")).select("a", (-F.col("x.m")).alias("b"))
     edges = durable(_verified(best, texts, k, percent))
     label = components(edges)
