@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .common import components, durable
 
 COSINE = 0.98
+#: Blocks of the product code: a block's codebook has as many words as the cube root of the filters.
+PARTS = 3
 #: Filters that a vector exceeds on average.
 LISTED = 20
 #: Filters that every vector has at least: its own level falls until it exceeds so many.
@@ -32,7 +34,7 @@ class Code:
     def __init__(self, dim: int, size: int, listed: int = LISTED, seed: int = SEED):
         rng = np.random.default_rng([seed, dim])
         self.dim = dim
-        self.blocks = max(1, min(dim, 2 if size <= 1 << 22 else 3))
+        self.blocks = max(1, min(dim, PARTS))
         self.words = max(4, ceil(size ** (1 / self.blocks)))
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
         self.cuts = [int(round(i * dim / self.blocks)) for i in range(self.blocks + 1)]
@@ -43,20 +45,25 @@ class Code:
         # the level follows from the code alone: filter scores of random directions, not of the data
         probe = rng.standard_normal((256, dim))
         probe = (probe / np.linalg.norm(probe, axis=1, keepdims=True)).astype(np.float32)
-        lo, hi = -1.0, 1.0
-        for _ in range(30):
-            self.level = (lo + hi) / 2
-            n = sum(self.count(x) for x in self.scores(probe)) / len(probe)
-            lo, hi = (self.level, hi) if n > min(listed, self.words**self.blocks / 2) else (lo, self.level)
+        listed = min(listed, self.words**self.blocks // 2)
+        top = np.concatenate([self.highest(x, 64 * listed) for x in self.scores(probe)])
+        self.level = float(np.partition(top, len(top) - listed * len(probe))[len(top) - listed * len(probe)])
+
+    def highest(self, scores: tuple[np.ndarray, ...], n: int) -> np.ndarray:
+        """The n highest filter scores (or all), from above: of two falling rows, sums of ranks i and j can only be among
+        the n highest if i * j <= n."""
+        out = np.zeros(1)
+        for s in scores:
+            a, b = -np.sort(-out)[:n], -np.sort(-s)[:n]
+            sums = [a[: n // (j + 1)] + b[j] for j in range(len(b))]
+            out = np.concatenate(sums)
+        return -np.sort(-out)[:n]
 
     def scores(self, x: np.ndarray) -> list[tuple[np.ndarray, ...]]:
         y = x @ self.rotation.astype(np.float32)
         per = [y[:, a:b] @ book.T for (a, b), book in zip(zip(self.cuts[:-1], self.cuts[1:], strict=True), self.books, strict=True)]
         return list(zip(*per, strict=True))
 
-    def count(self, scores: tuple[np.ndarray, ...]) -> int:
-        return len(self.decode(scores, self.level))
-
     def filters(self, scores: tuple[np.ndarray, ...]) -> np.ndarray:
         """All filters over the level, or over the first lower level (in steps) that LEAST filters exceed."""
         level, least = self.level, min(LEAST, self.words**self.blocks)

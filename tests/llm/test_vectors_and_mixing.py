@@ -55,11 +55,30 @@ def test_list_decoding_is_complete():
     x = np.random.default_rng(1).standard_normal((20, 16)).astype(np.float32)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     for s in code.scores(x):
-        every = {i * code.words + j for i in range(code.words) for j in range(code.words) if s[0][i] + s[1][j] >= code.level}
+        sums, ids = np.zeros(1, np.float32), np.zeros(1, np.int64)
+        for block in s:
+            sums, ids = (sums[:, None] + block).ravel(), (ids[:, None] * code.words + np.arange(code.words)).ravel()
+        every = set(ids[sums >= code.level].tolist())
+        assert np.allclose(code.highest(s, 50), -np.sort(-sums)[:50])
         assert every == set(code.decode(s, code.level).tolist())
         assert len(code.filters(s)) >= embeddings.LEAST
 
 
+@pytest.mark.parametrize("n", [500, 50_000, 5_000_000, 1_000_000_000])
+def test_recall_of_codes_of_every_size(n):
+    """Pairs just over the threshold share a filter, whatever the number of vectors the code is made for."""
+    code = embeddings.Code(48, max(256, 4 * n * embeddings.LISTED))
+    rng = np.random.default_rng(5)
+    x, z = rng.standard_normal((2, 150, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = 0.981 * x + np.sqrt(1 - 0.981**2) * z
+    own, other = ([set(code.filters(s).tolist()) for s in code.scores(v.astype(np.float32))] for v in (x, y))
+    assert np.mean([bool(a & b) for a, b in zip(own, other, strict=True)]) >= 0.97
+    assert np.mean([len(a) for a in own]) < 4 * embeddings.LISTED
+
+
 # ---- mixing
 
 
