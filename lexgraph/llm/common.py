@@ -21,22 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, or else the one set on the context. Without either, a temporary folder
+    serves on one machine only; on a cluster that is an error, as executors would not see each other's files."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="lexgraph-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage through the shared checkpoint folder, so a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexgraph-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cuts the lineage through a columnar table in the shared checkpoint folder, removed when the driver ends."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="lexgraph-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/lexgraph-{uuid.uuid4().hex}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lexgraph-{uuid.uuid4().hex}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     df.write.parquet(path.toString())
     # the driver's collector is what lets Spark delete the shuffle files of the finished job

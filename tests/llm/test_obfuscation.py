@@ -39,3 +39,24 @@ LONG = {
 @pytest.mark.parametrize("text", LONG)
 def test_length(find, text):
     assert find(text) == sorted(LONG[text])
+
+
+def test_decoding_against_all_readings(docs):
+    """The k likeliest texts of a lattice, by enumeration of all its paths."""
+    import itertools
+
+    channel = toxicity.Channel(toxicity.trigram_counts(docs([(1, "you are a stupid idiot and he is a moron or a dumb sod " * 9)])))
+    for word in ("1d10t", "m0r0n", "stup1d", "s$!|*", "a***b", "iiiidiooot", "m.0.r", "!!!!"):
+        lattice = channel.lattice(word)
+        best = {}
+        for path in itertools.product(*lattice):
+            text, x, y, score = "".join(t for t, _ in path), 0, 0, sum(c for _, c in path)
+            for ch in text:
+                c = ord(ch) - 96
+                score += channel.log_p[x][y][c]
+                x, y = y, c
+            best[text] = max(best.get(text, -1e9), score + channel.log_p[x][y][0])
+        want = sorted(best.values(), reverse=True)[:6]
+        got = channel.search(lattice, 6)
+        assert len(got) == len(set(got)) == min(6, len([t for t in best if t]))
+        assert toxicity.np.allclose([best[t] for t in got], want[: len(got)])
