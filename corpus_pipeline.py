@@ -13,7 +13,11 @@ from lexgraph.llm.common import keep_rows, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the toxicity model, learnt from the labels with crc32(doc_id) mod 5 not 0, finds toxic."""
+    """Rejects documents that the toxicity model, learnt from the labels with crc32(doc_id) mod 5 not 0, finds toxic.
+
+    Null and empty texts have no evidence and stay; rows without an id and repeated rows are judged one by one; texts are
+    read whole. An empty table stays empty, and without labels of both classes nothing is rejected.
+    """
     labels = table(spark, sf_dir, "labels").where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
     model = toxicity.train(docs, labels, "toxic")
     scorer: list = []
@@ -28,41 +32,50 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes every line out that nearly repeats an earlier one."""
+    """Takes every line out that nearly repeats an earlier one, in order of doc_id and line; all rows stay.
+
+    Null texts stay null, rows without an id are left as they are, and rows that repeat an id lose the same lines.
+    """
     return lines.clean(docs, percent=80, least=5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate group (five-word shingles, similarity 0.8) and those without an id."""
-    kept = minhash.near_duplicates(docs, k=5, percent=80).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi")
+    """Keeps one document of each near-duplicate group (five-word shingles, similarity 0.8), the smallest doc_id.
+
+    Null and empty texts are near to nothing and stay, as do rows without an id. Of rows that repeat an id those with
+    different texts stay together, and of equal ones one stays.
+    """
+    kept = minhash.near_duplicates(docs, k=5, percent=80).where("kept").select("doc_id").distinct()
+    known = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        known = known.dropDuplicates(["doc_id"])
+        known = known.dropDuplicates(["doc_id", "text"])
     return known.unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark passage."""
+    """Drops documents that hold a benchmark passage; null and empty texts and rows without an id are treated alike."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many tokens as are left, drawn at 0.98 of the greatest entropy of sources; a document has a row per epoch."""
-    drawn = mixing.mix(docs, budget=1.0, entropy=0.98, max_epochs=4.0)
-    rows = drawn.select(F.col("doc_id").alias("_id"), "n_tokens", "epoch")
-    out = docs.join(rows.where("_id is not null"), docs["doc_id"] == F.col("_id")).drop("_id")
-    none = docs.where("doc_id is null")
-    if not none.limit(1).count():
-        return out
-    # rows without an id, told apart by source and tokens only when drawn: the first of equal ones are taken in each epoch
-    number = lambda *by: W.partitionBy("_source", "n_tokens", *by)
-    none = none.withColumn("_source", F.col("source")).withColumn("n_tokens", mixing.token_count(F.col("text")))
-    none = none.withColumn("_n", F.row_number().over(number().orderBy(F.xxhash64("text"), "text")))
-    rows = drawn.where("doc_id is null").select(F.col("source").alias("_source"), "n_tokens", "epoch")
-    rows = rows.withColumn("_n", F.row_number().over(number("epoch").orderBy("epoch")))
-    a, b = none.alias("a"), rows.alias("b")
-    same = F.col("a._source").eqNullSafe(F.col("b._source")) & (F.col("a.n_tokens") == F.col("b.n_tokens")) & (F.col("a._n") == F.col("b._n"))
-    return out.unionByName(a.join(b, same).select(*(F.col(f"a.{c}") for c in docs.columns), "a.n_tokens", "b.epoch"))
+    """As many tokens as are left, drawn at 0.98 of the greatest entropy of sources; a document has a row per epoch.
+
+    Two columns follow, n_tokens and epoch; columns of these names give way to them. Texts without words are not drawn.
+    """
+    docs = docs.drop("n_tokens", "epoch")
+    drawn = mixing.mix(docs, budget=1.0, entropy=0.98, max_epochs=4.0).select("doc_id", "source", "n_tokens", "epoch")
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    if not docs.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1).count():
+        return rows.join(drawn.select("doc_id", "n_tokens", "epoch"), "doc_id").select("row.*", "n_tokens", "epoch")
+    # rows without an id or with a repeated one are drawn one by one: those of equal id, source and tokens are numbered
+    keys = ["doc_id", "source", "n_tokens"]
+    rows = rows.withColumns({"source": F.col("row.source"), "n_tokens": mixing.token_count(F.col("row.text"))})
+    rows = rows.withColumn("n", F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("row.text"), "row.text"))).alias("a")
+    drawn = drawn.withColumn("n", F.row_number().over(W.partitionBy(*keys, "epoch").orderBy("epoch"))).alias("b")
+    same = F.col("a.n") == F.col("b.n")
+    for c in keys:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return rows.join(drawn, same).select("a.row.*", "a.n_tokens", "b.epoch")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
