@@ -1,10 +1,11 @@
-"""Row-level classifiers as CASE expressions, and the keyword classifier as a broadcast join with windows."""
+"""Row-level classifiers as CASE expressions, and the keyword classifier as sums of counts."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import constants as K
 from ..functions import text as T
@@ -89,11 +90,17 @@ def repeal_date(status: Column, valid_until: Column, invalidation: Column) -> Co
 def keyword_hits(df: DataFrame, key: str, text: str, domains: DataFrame, top: int = 5) -> DataFrame:
     """The `top` domains of every text by number of keyword hits: key, code, hits, rank (ties by code).
 
-    domains: code, keyword, is_pattern, threshold - a catalogue of fixed size, which is why it is broadcast; a keyword
-    is a plain lower-case string unless is_pattern. A domain counts from `threshold` hits.
+    domains: code, keyword, is_pattern, threshold - a catalogue of fixed size, which becomes one expression per domain; a
+    keyword is a plain lower-case string unless is_pattern. A domain counts from `threshold` hits. One pass, no shuffle.
     """
     lower = df.select(F.col(key), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
-    catalogue = domains.groupBy("code", "threshold").agg(F.collect_list(F.when(F.col("is_pattern"), F.col("keyword")).otherwise(F.concat(F.lit("\\Q"), F.col("keyword"), F.lit("\\E")))).alias("_p"))
-    hits = lower.crossJoin(F.broadcast(catalogue)).select(key, "code", "threshold", F.aggregate("_p", F.lit(0), lambda s, p: s + F.regexp_count(F.col("_t"), F.concat(F.lit("(?U)"), p))).alias("hits"))
-    ranked = hits.where("hits >= threshold").withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy(F.desc("hits"), "code")))
-    return ranked.where(F.col("rank") <= top).select(key, "code", "hits", "rank")
+    catalogue: dict[tuple, list[str]] = {}
+    for r in domains.orderBy("code", "keyword").collect():
+        catalogue.setdefault((r.code, r.threshold), []).append(r.keyword if r.is_pattern else f"\\Q{r.keyword}\\E")
+    if not catalogue:
+        return lower.limit(0).select(key, F.lit("").alias("code"), F.lit(0).alias("hits"), F.lit(0).alias("rank"))
+    hits = lambda patterns: reduce(lambda a, b: a + b, (F.regexp_count("_t", F.lit(f"(?U){p}")) for p in patterns))
+    scored = F.array(*(F.struct((-hits(p)).alias("n"), F.lit(code).alias("code"), F.lit(least).alias("least")) for (code, least), p in catalogue.items()))
+    best = F.slice(F.array_sort(F.filter(scored, lambda x: -x.n >= x.least)), F.lit(1), F.lit(top))
+    out = lower.select(key, F.posexplode(best).alias("rank", "x"))
+    return out.select(key, "x.code", (-F.col("x.n")).alias("hits"), (F.col("rank") + 1).alias("rank"))

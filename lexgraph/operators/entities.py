@@ -92,10 +92,12 @@ def competences(found: DataFrame, text: str, prefix: str, cap: int = 50) -> Data
 
 
 def amendment_events(marks: DataFrame, laws: DataFrame, prefix: str) -> DataFrame:
-    """Numbered events per law from amendment marks; laws: file_name, slug, law_iri. Parts share the marks of their act."""
-    key = T.base_slug(F.col("slug"))
+    """Numbered events per law from amendment marks; laws: file_name, slug, law_iri. Parts without marks of their own share
+    those of their act."""
     m = marks.withColumn("_s", F.regexp_replace("file_name", r"\.xml$", ""))
-    j = laws.select("law_iri", "slug", key.alias("base")).join(m, (F.col("slug") == F.col("_s")) | (F.col("base") == F.col("_s")))
+    keys = F.array_distinct(F.array("slug", T.base_slug(F.col("slug"))))
+    j = laws.select("law_iri", "slug", F.explode(keys).alias("_s")).join(m, "_s").withColumn("_own", F.col("_s") == F.col("slug"))
+    j = j.withColumn("_any", F.max("_own").over(W.partitionBy("law_iri"))).where("_own = _any")
     rn = F.row_number().over(W.partitionBy("law_iri").orderBy(F.col("amendment_date").asc_nulls_last(), "rt_reference"))
     j = j.withColumn("idx", rn)
     return j.select(F.concat(F.lit(f"{prefix}:Amendment_"), T.sanitize_id(F.col("slug"), " -", cut=80), F.lit("_"), F.col("idx").cast("string")).alias("iri"), "law_iri", "amendment_date", "entry_into_force", "rt_reference", "idx")
@@ -113,12 +115,12 @@ def harmonisation(measures: DataFrame, transposed: DataFrame, prefix: str) -> Da
 
 def statute_provisions(paragraphs: DataFrame, laws: DataFrame, prefix: str) -> DataFrame:
     """Provisions of statutes in document order. laws: file_name, law (its short name), source_act; part numbers enter
-    the id of multi-part acts. A number that repeats gets the count of paragraphs before it."""
+    the id of multi-part acts. A number that repeats gets the count of paragraphs of its part before it."""
     p = paragraphs.join(laws, "file_name")
     number = F.coalesce(T.digits_int(F.col("par_nr")), T.digits_int(F.col("display")))
     head = F.concat_ws("_", F.concat(F.lit(f"{prefix}:"), "law"), F.when(F.col("part").isNotNull(), F.concat(F.lit("Osa"), "part")))
     p = p.withColumn("number", number).withColumn("iri", F.concat_ws("_Par_", head, number.cast("string")))
-    p = suffix_seen(p, ["file_name"], "iri", ["pos"])
+    p = suffix_seen(p, ["file_name", "part"], "iri", ["pos"])
     return p.select("file_name", "pos", "iri", "number", F.coalesce("display", F.concat(F.lit("§ "), "par_nr")).alias("paragrahv"), T.label(F.col("title"), F.col("summary"), F.col("display")).alias("label"),
                     "source_act", F.nullif("summary", F.lit("")).alias("summary"), "full_text", "law", "part", "chapter", "division")
 

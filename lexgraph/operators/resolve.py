@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -57,22 +55,23 @@ def resolve_aliases(edges: DataFrame, nodes: DataFrame, aliases: DataFrame) -> D
     return e.join(best, "dst", "left").select(*edges.columns, F.coalesce("_direct", "_via").alias("target"))
 
 
-def tiered(left: DataFrame, name: str, right: DataFrame, key: str, order: str, tiers: list[tuple[Column, Column]]) -> DataFrame:
+def tiered(left: DataFrame, name: str, right: DataFrame, order: str, tiers: list[tuple[str, Column, str | Column]]) -> DataFrame:
     """Fuzzy lookup: left with the best right row per distinct name and its tier (from 1).
 
-    tiers: (condition, score) over columns of both sides; a lower tier wins, then a higher score, then `order`. The
-    right side is a registry of acts, whose size does not follow the left side.
+    tiers: ("equal", expression over the name, right column) or ("match", condition over both, score). A lower tier wins,
+    then a higher score, then `order`. Equality is a hash join; conditions are tried on all pairs, but only for names that
+    no tier before has settled, and only with the registry of acts, whose size does not follow the left side.
     """
-    names = left.select(name).distinct()
-    case = F.lit(None).cast("int")
-    score = F.lit(0.0)
-    for i in range(len(tiers), 0, -1):
-        condition, value = tiers[i - 1]
-        case = F.when(condition, F.lit(i)).otherwise(case)
-        score = F.when(condition, value.cast("double")).otherwise(score)
-    pairs = names.join(right, reduce(lambda a, b: a | b, (c for c, _ in tiers))).withColumn("tier", case).withColumn("_s", score)
-    best = keep_first(pairs, [name], ["tier", F.desc("_s"), order]).drop("_s")
-    return left.join(best, name, "left")
+    open_, found = left.select(name).where(F.col(name).isNotNull()).distinct(), None
+    for i, (kind, condition, value) in enumerate(tiers, 1):
+        if kind == "equal":
+            hit = open_.withColumn("_k", condition).join(right, F.col("_k") == F.col(value)).drop("_k").withColumn("_s", F.lit(0.0))
+        else:
+            hit = open_.join(right, condition).withColumn("_s", value.cast("double"))
+        best = keep_first(hit, [name], [F.desc("_s"), order]).drop("_s").withColumn("tier", F.lit(i))
+        found = best if found is None else found.unionByName(best)
+        open_ = open_.join(best.select(name), name, "left_anti")
+    return left.join(found, name, "left")
 
 
 def draft_to_law(drafts: DataFrame, laws: DataFrame, name: str = "law_name") -> DataFrame:
@@ -83,7 +82,7 @@ def draft_to_law(drafts: DataFrame, laws: DataFrame, name: str = "law_name") ->
     slug = T.slugify(norm)
     stop = F.array(*(F.lit(w) for w in ("ja", "ning", "seadus", "seadustik")))
     common = F.size(F.array_intersect(F.array_except(F.split(norm, " "), stop), F.array_except(F.split("key", " "), stop)))
-    return tiered(drafts, name, laws, "key", "ord", [(slug == F.col("key"), F.lit(0)), (F.col("key").contains(slug) | slug.contains(F.col("key")), F.lit(0)), (common >= 2, common)])
+    return tiered(drafts, name, laws, "ord", [("equal", slug, "key"), ("match", F.col("key").contains(slug) | slug.contains(F.col("key")), F.lit(0)), ("match", common >= 2, common)])
 
 
 def name_to_slug(drafts: DataFrame, laws: DataFrame, name: str = "law_name") -> DataFrame:
@@ -91,11 +90,11 @@ def name_to_slug(drafts: DataFrame, laws: DataFrame, name: str = "law_name") ->
     containment either way; genitive turned to nominative as title, as slug among titles, then slugs."""
     low = F.trim(F.lower(F.col(name)))
     nominative = F.regexp_replace(F.regexp_replace(low, "seaduse$", "seadus"), "seadustiku$", "seadustik")
-    t, s = F.col("title_lower"), F.col("slug")
-    zero = F.lit(0)
-    return tiered(drafts, name, laws, "slug", "ord", [
-        (low == t, zero), (T.slugify(F.col(name)) == t, zero), (T.slugify(F.col(name)) == s, zero), (t.contains(low) | low.contains(t), zero),
-        (nominative == t, zero), (T.slugify(nominative) == t, zero), (T.slugify(nominative) == s, zero),
+    t = F.col("title_lower")
+    own = T.slugify(F.col(name))
+    return tiered(drafts, name, laws, "ord", [
+        ("equal", low, "title_lower"), ("equal", own, "title_lower"), ("equal", own, "slug"), ("match", t.contains(low) | low.contains(t), F.lit(0)),
+        ("equal", nominative, "title_lower"), ("equal", T.slugify(nominative), "title_lower"), ("equal", T.slugify(nominative), "slug"),
     ])
 
 
@@ -104,16 +103,12 @@ def measure_to_law(measures: DataFrame, laws: DataFrame, title: str = "title") -
 
     Tiers: title equal; extracted act name equal; longest key (over 10 characters) inside the title; any source act
     inside the title."""
-    m = measures.withColumn("_t", T.normalize_text(F.col(title))).withColumn("_n", T.normalize_text(T.extract_law_name(F.col(title))))
-    inside = (F.length("key") > 10) & F.col("_t").contains(F.col("key"))
-    act = (F.length("source_act") > 5) & F.col("_t").contains(F.col("source_act"))
-    names = m.select(title, "_t", "_n").distinct()
-    k = F.col("key")
-    tiers = [(k == F.col("_t"), F.lit(0)), (k == F.col("_n"), F.lit(0)), (inside, F.length("key")), (act, F.lit(0))]
-    case = F.when(tiers[0][0], 1).when(tiers[1][0], 2).when(inside, 3).when(act, 4)
-    pairs = names.join(laws, reduce(lambda a, b: a | b, (c for c, _ in tiers))).withColumn("tier", case)
-    best = keep_first(pairs, [title], ["tier", F.desc(F.when(F.col("tier") == 3, F.length("key")).otherwise(0)), "ord"]).drop("_t", "_n")
-    return measures.join(best, title, "left")
+    whole = T.normalize_text(F.col(title))
+    named = T.normalize_text(T.extract_law_name(F.col(title)))
+    return tiered(measures, title, laws, "ord", [
+        ("equal", whole, "key"), ("equal", named, "key"), ("match", (F.length("key") > 10) & whole.contains(F.col("key")), F.length("key")),
+        ("match", (F.length("source_act") > 5) & whole.contains(F.col("source_act")), F.lit(0)),
+    ])
 
 
 def with_default(df: DataFrame, keys: DataFrame, key: str, value: str, default: Column) -> DataFrame:
@@ -141,17 +136,22 @@ def rename_map(iris: DataFrame, registry: DataFrame, prefix: str) -> DataFrame:
     """iri, new_iri of the identifiers that change. registry: slug, abbrev, old_prefix; the longest prefix wins.
 
     LegalConcept_x becomes Concept_x; LegalProvision_slug[_osaN] and Cluster_prefix_x and prefix_x take the abbreviation;
-    _ParN becomes _Par_N. The join tries the whole registry, which has a row per act.
+    _ParN becomes _Par_N. An identifier's beginnings that end before an underscore are looked up by equality.
     """
     local = F.substring("iri", len(prefix) + 2, 1 << 20)
-    r = registry.withColumn("old_prefix", F.nullif("old_prefix", F.lit("")))
     i = iris.select("iri", local.alias("local")).distinct()
     i = i.withColumn("kind", F.when(F.col("local").startswith("LegalConcept_"), "concept").when(F.col("local").startswith("LegalProvision_"), "provision").when(F.col("local").startswith("Cluster_"), "cluster").otherwise("other"))
     rest = F.when(F.col("kind") == "provision", F.expr("substring(local, 16)")).when(F.col("kind") == "cluster", F.expr("substring(local, 9)")).otherwise(F.col("local"))
     i = i.withColumn("rest", rest)
-    by_slug = (F.col("kind") == "provision") & ((F.col("rest") == F.col("slug")) | F.col("rest").startswith(F.concat("slug", F.lit("_osa"))))
-    by_prefix = F.col("kind").isin("cluster", "other") & (F.col("old_prefix") != F.col("abbrev")) & F.col("rest").startswith(F.concat("old_prefix", F.lit("_")))
-    hits = i.join(r, by_slug | by_prefix).withColumn("old", F.when(F.col("kind") == "provision", F.col("slug")).otherwise(F.col("old_prefix")))
+    # where a beginning may end: before any underscore, and for a provision's slug before a part number or at the end
+    pieces = F.split("rest", "_")
+    beginnings = F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda n: F.struct(F.array_join(F.slice(pieces, F.lit(1), n), "_").alias("old"), F.get(pieces, n).alias("next")))
+    heads = i.where("kind <> 'concept'").select("iri", "kind", F.inline(beginnings))
+    heads = heads.where("(kind = 'provision' and (next is null or startswith(next, 'osa'))) or (kind <> 'provision' and next is not null)")
+    heads = heads.select("iri", "old", (F.col("kind") == "provision").alias("by_slug"))
+    r = registry.select(F.col("slug").alias("old"), "abbrev", F.lit(True).alias("by_slug"))
+    r = r.unionByName(registry.where("old_prefix <> '' and old_prefix <> abbrev").select(F.col("old_prefix").alias("old"), "abbrev", F.lit(False).alias("by_slug")))
+    hits = heads.join(r, ["old", "by_slug"])
     best = hits.groupBy("iri").agg(F.max_by(F.struct("abbrev", "old"), F.length("old")).alias("b"))
     head = F.when(F.col("kind") == "provision", "LegalProvision_").when(F.col("kind") == "cluster", "Cluster_").otherwise("")
     renamed = F.concat(F.lit(f"{prefix}:"), head, F.col("b.abbrev"), F.expr("substring(rest, length(b.old) + 1)"))
@@ -167,6 +167,23 @@ def collisions(renames: DataFrame, iris: DataFrame) -> DataFrame:
 
 
 def not_yet_present(wanted: DataFrame, slug: str, present: DataFrame, length: int = 20) -> DataFrame:
-    """Rows whose slug is not among the present ones, nor the start of one of them (first `length` characters)."""
-    heads = present.select(F.left("slug", F.lit(length)).alias("_h")).distinct()
-    return wanted.join(heads, F.left(F.col(slug), F.lit(length)) == F.col("_h"), "left_anti")
+    """Rows for whose slug no present one starts with its first `length` characters (all of a shorter slug)."""
+    starts = present.select(F.explode(F.transform(F.sequence(F.lit(0), F.least(F.length("slug"), F.lit(length))), lambda n: F.left("slug", n))).alias("_h")).distinct()
+    return wanted.join(starts, F.left(F.col(slug), F.lit(length)) == F.col("_h"), "left_anti")
+
+
+def located(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """edges with the file that holds their target (the first by name), null where there is none. nodes: iri, file_name."""
+    home = nodes.groupBy("iri").agg(F.min("file_name").alias("target_file")).withColumnRenamed("iri", "dst")
+    return edges.join(home, "dst", "left").select(*edges.columns, "target_file")
+
+
+def unresolved(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """dst, n: targets that no node has, with the number of links to them."""
+    return edges.join(nodes.select(F.col("iri").alias("dst")).distinct(), "dst", "left_anti").groupBy("dst").agg(F.count("*").alias("n"))
+
+
+def registry_iris(registry: DataFrame, ontologies: DataFrame) -> DataFrame:
+    """registry (name, files in order) with the identifier of the first of its files that has one. ontologies: file_name, iri."""
+    files = registry.select("name", F.posexplode("files").alias("_n", "file_name")).join(ontologies, "file_name")
+    return registry.join(files.groupBy("name").agg(F.min_by("iri", "_n").alias("iri")), "name", "left")

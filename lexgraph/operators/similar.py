@@ -9,24 +9,28 @@ from ..functions import text as T
 from .dedupe import top_k
 
 
-def keyword_similarity(docs: DataFrame, least_shared: int = 3, least: float = 0.3, top: int | None = 5) -> DataFrame:
+def keyword_similarity(docs: DataFrame, least_shared: int = 3, least: float = 0.3, top: int | None = 5, apart: tuple[str, ...] = ("grp",)) -> DataFrame:
     """Pairs (a before b) of texts with common keywords: a, b, na, nb, shared, similarity, and rank per a if top is given.
 
-    docs: id, ord (unique order), keywords, and grp (pairs of one group are left out, null groups never match).
-    Candidates come from an equi-join on the rarest keywords only: sets with Jaccard >= least must share a word of the
-    first n - ceil(least n) + 1 in any common order; with the length filter this is exact and spares frequent words.
+    docs: id, ord (unique order), keywords, and the columns `apart`: pairs with an equal value in any of them are left
+    out; nulls never match. Candidates come from an equi-join on the rarest keywords only: sets with Jaccard >= least must
+    share a word of the first n - ceil(least n) + 1 in any common order, and all that they share follows the first such
+    word; with the length filter this is exact and spares frequent words.
     """
-    sets = docs.select("id", "ord", "grp", F.array_distinct("keywords").alias("k")).withColumn("n", F.size("k")).where(F.col("n") >= least_shared)
+    sets = docs.select("id", "ord", *apart, F.array_distinct("keywords").alias("k")).withColumn("n", F.size("k")).where(F.col("n") >= least_shared)
     words = sets.select("id", F.explode("k").alias("w"))
     freq = words.groupBy("w").agg(F.count("*").alias("df"))
     ranked = words.join(freq, "w").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("r"))
-    heads = ranked.select("id", F.explode(F.transform(F.slice("r", F.lit(1), (F.size("r") - F.ceil(F.size("r") * F.lit(least)) + 1).cast("int")), lambda x: x.w)).alias("w"))
-    heads = heads.join(sets.select("id", "ord", "grp", "n"), "id")
+    heads = ranked.select("id", F.posexplode(F.transform(F.slice("r", F.lit(1), (F.size("r") - F.ceil(F.size("r") * F.lit(least)) + 1).cast("int")), lambda x: x.w)).alias("p", "w"))
+    heads = heads.join(sets.select("id", "ord", *apart, "n"), "id")
     a, b = heads.alias("a"), heads.alias("b")
+    rest = F.least(F.col("a.n") - F.col("a.p"), F.col("b.n") - F.col("b.p"))
     near = (
-        (F.col("a.w") == F.col("b.w")) & (F.col("a.ord") < F.col("b.ord")) & ~F.coalesce(F.col("a.grp") == F.col("b.grp"), F.lit(False))
-        & (F.col("a.n") >= F.col("b.n") * least) & (F.col("b.n") >= F.col("a.n") * least)
+        (F.col("a.w") == F.col("b.w")) & (F.col("a.ord") < F.col("b.ord")) & (F.col("a.n") >= F.col("b.n") * least) & (F.col("b.n") >= F.col("a.n") * least)
+        & (rest >= least_shared) & (rest * (1 + least) >= (F.col("a.n") + F.col("b.n")) * least - 1e-9)
     )
+    for c in apart:
+        near = near & ~F.coalesce(F.col(f"a.{c}") == F.col(f"b.{c}"), F.lit(False))
     pairs = a.join(b, near).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     side = lambda x: sets.select(F.col("id").alias(x), F.col("k").alias(f"k{x}"), F.col("n").alias(f"n{x}"), F.col("ord").alias(f"o{x}"))
     full = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.size(F.array_intersect("ka", "kb")))
@@ -69,12 +73,12 @@ def _segments(words: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     return longer, shorter
 
 
-def near_terms(concepts: DataFrame, most_terms: int = 5000, least_length: int = 4, distance: int = 2) -> DataFrame:
+def near_terms(concepts: DataFrame, most_terms: int | None = None, least_length: int = 4, distance: int = 2) -> DataFrame:
     """Close matches between different terms at an edit distance of 1 or 2, as links of their first entries.
 
     Terms meet through an equi-join on what is left of both after deletions: with distance deletions from the longer
-    term, and as many less as it is longer from the other, any close pair has a string in common. As in the source,
-    nothing is linked above `most_terms` terms; pass None for no such limit. concepts: iri, term_lower, ord.
+    term, and as many less as it is longer from the other, any close pair has a string in common. The source links nothing
+    above 5,000 terms, which `most_terms` can ask for; by default there is no such limit. concepts: iri, term_lower, ord.
     """
     terms = concepts.where(F.length("term_lower") >= least_length).groupBy("term_lower").agg(F.min_by("iri", "ord").alias("iri"), F.min("ord").alias("ord"))
     if most_terms is not None and concepts.select("term_lower").distinct().count() > most_terms:
@@ -96,10 +100,15 @@ def near_terms(concepts: DataFrame, most_terms: int = 5000, least_length: int =
 
 
 def provisions_for_similarity(nodes: DataFrame, prefix: str) -> DataFrame:
-    """Input of keyword_similarity from nodes(iri, types, label, summary, file_name, pos): content-bearing ones only."""
+    """Input of keyword_similarity from nodes(iri, types, label, summary, source_act, file_name, pos): content-bearing ones
+    only. Pairs of one prefix, one act or one file are to be kept APART."""
     skip = F.array(*(F.lit(t) for t in ("owl:Ontology", "owl:Class", f"{prefix}:TopicCluster", "skos:ConceptScheme")))
     from .classify import is_boilerplate
 
     kept = nodes.where(~F.arrays_overlap("types", skip) & F.col("iri").startswith(f"{prefix}:") & ~is_boilerplate(F.col("summary")))
     words = F.array_union(T.keywords(F.col("summary")), T.keywords(F.col("label")))
-    return kept.select(F.col("iri").alias("id"), F.struct("file_name", "pos").alias("ord"), T.provision_prefix(F.col("iri")).alias("grp"), words.alias("keywords"))
+    return kept.select(F.col("iri").alias("id"), F.struct("file_name", "pos").alias("ord"), T.provision_prefix(F.col("iri")).alias("grp"), F.nullif("source_act", F.lit("")).alias("source_act"), "file_name", words.alias("keywords"))
+
+
+#: Columns of provisions of which a similar pair has none in common.
+APART = ("grp", "source_act", "file_name")

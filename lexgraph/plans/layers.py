@@ -73,13 +73,19 @@ def norms(x: Context) -> Tables:
     return {"norms": p.select("iri", C.norm_type(F.col("summary")).alias("normative_type"), X.duty_holder(F.col("summary")).alias("duty_holder")).where("normative_type is not null")}
 
 
+def file_texts(rows: DataFrame, *columns: str) -> DataFrame:
+    """file_name, text: the columns of a file's rows, in order of pos, as one text."""
+    parts = F.array_sort(F.collect_list(F.struct("pos", F.concat_ws(" ", *columns).alias("t"))))
+    return rows.groupBy("file_name").agg(F.array_join(F.transform(parts, lambda v: v.t), " ").alias("text"))
+
+
 def subjects(x: Context) -> Tables:
     """Domains of each law by its first file's texts, given to all its files. Needs domains and laws(name, files)."""
     t = x.tables
     if "domains" not in t:
         return {}
     laws = t["laws"].where(F.size("files") > 0).select("name", "files", F.get("files", F.lit(0)).alias("file_name"))
-    text = t["provisions"].groupBy("file_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.concat_ws(" ", "label", "source_act", "summary").alias("t")))), lambda v: v.t), " ").alias("text"))
+    text = file_texts(t["provisions"], "label", "source_act", "summary")
     hits = C.keyword_hits(laws.join(text, "file_name"), "name", "text", t["domains"])
     return {"subjects": hits.join(laws.select("name", F.explode("files").alias("file_name")), "name")}
 
@@ -92,6 +98,56 @@ def temporal(x: Context) -> Tables:
     return {"temporal": d.withColumn("repeal_date", C.repeal_date(F.col("temporal_status"), F.col("valid_until"), F.col("invalidation_date")))}
 
 
+def amendment_history(x: Context) -> Tables:
+    """Events of each act from its marks and the bills that change it, their links, and the length of each act's chain.
+
+    Needs amendment_marks and amended_laws(file_name, slug, law_iri); with drafts(iri, draft_type, affected_law_name) and
+    law_titles(title_lower, slug, ord) the bills come in. An act's parts share its bills.
+    """
+    from ..operators.entities import amendment_events
+
+    t = x.tables
+    if "amendment_marks" not in t or "amended_laws" not in t:
+        return {}
+    laws = t["amended_laws"]
+    events = amendment_events(t["amendment_marks"], laws, x.prefix).select("iri", "law_iri", "amendment_date", "rt_reference", F.lit("act").alias("origin"))
+    if "drafts" in t and "law_titles" in t:
+        bills = t["drafts"].where("draft_type = 'AmendmentBill'").select("iri", F.explode("affected_law_name").alias("law_name"))
+        named = R.name_to_slug(bills, t["law_titles"]).where("slug is not null").select("iri", T.base_slug(F.col("slug")).alias("base")).distinct()
+        own = laws.select("law_iri", T.base_slug(F.col("slug")).alias("base"))
+        none = F.lit(None)
+        events = events.unionByName(named.join(own, "base").select("iri", "law_iri", none.cast("date").alias("amendment_date"), none.cast("string").alias("rt_reference"), F.lit("draft").alias("origin")))
+    links = events.select(F.col("law_iri").alias("src"), F.lit("amendedBy").alias("pred"), F.col("iri").alias("dst"))
+    chains = events.groupBy("law_iri").agg(F.count_if(F.col("origin") == "act").alias("acts"), F.count_if(F.col("origin") == "draft").alias("drafts"), F.count("*").alias("total"))
+    return {"amendment_events": events, "amendedBy": links, "amends": G.invert(links.select("src", "dst"), "amends"), "amendment_chains": chains}
+
+
+def transposition(x: Context) -> Tables:
+    """Measures of this state with the directive and the act that their titles name, and the links of both.
+
+    Needs measures(celex_dir, title), eu_acts(celex, iri) and law_index(key, source_act, law_iri, ord)."""
+    t = x.tables
+    if not {"measures", "eu_acts", "law_index"} <= set(t):
+        return {}
+    found = R.measure_to_law(t["measures"], t["law_index"]).where("key is not null")
+    mapped = found.join(t["eu_acts"].select(F.col("celex").alias("celex_dir"), F.col("iri").alias("directive_iri")), "celex_dir", "left")
+    links = mapped.where("directive_iri is not null").select(F.col("law_iri").alias("src"), F.lit("transposesDirective").alias("pred"), F.col("directive_iri").alias("dst")).distinct()
+    return {"transposed": mapped.select("celex_dir", "directive_iri", "title", "tier", "law_iri", F.col("key").alias("law_name")), "transposesDirective": links, "transposedBy": G.invert(links.select("src", "dst"), "transposedBy")}
+
+
+def harmonisation(x: Context) -> Tables:
+    """What other states enacted for the directives that acts here transpose. Needs foreign_measures(celex_dir,
+    country_code, celex_nat)."""
+    from ..operators.entities import harmonisation as measures
+
+    t = x.tables
+    if "foreign_measures" not in t or "transposed" not in t:
+        return {}
+    out = measures(t["foreign_measures"], t["transposed"].select("celex_dir", "law_name"), x.prefix)
+    links = out.join(t["transposed"].select("celex_dir", "law_iri").distinct(), "celex_dir").select(F.col("law_iri").alias("src"), F.lit("harmonisedWith").alias("pred"), F.col("iri").alias("dst"))
+    return {"harmonised": out, "harmonisedWith": links}
+
+
 def sanctions(x: Context) -> Tables:
     from ..operators.entities import sanction_nodes
 
@@ -125,7 +181,7 @@ def draft_impact(x: Context) -> Tables:
 
 def similarity(x: Context) -> Tables:
     p = x.tables["provisions"]
-    return {"similar": S.keyword_similarity(S.provisions_for_similarity(p, x.prefix))}
+    return {"similar": S.keyword_similarity(S.provisions_for_similarity(p, x.prefix), apart=S.APART)}
 
 
 #: name, function, names of the layers that have to come first.
@@ -136,6 +192,9 @@ LAYERS: list[tuple[str, Callable[[Context], Tables], tuple[str, ...]]] = [
     ("norm types", norms, ()),
     ("subjects", subjects, ()),
     ("temporal", temporal, ()),
+    ("amendment history", amendment_history, ()),
+    ("transposition", transposition, ()),
+    ("harmonisation", harmonisation, ("transposition",)),
     ("sanctions", sanctions, ()),
     ("authorities", authorities, ()),
     ("concepts", concept_links, ()),

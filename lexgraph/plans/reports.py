@@ -57,6 +57,20 @@ def concepts(df: DataFrame, k: int = 30) -> tuple[DataFrame, DataFrame]:
     return top(counts(df, "law_slug"), "n", "law_slug", k), many
 
 
+def domains(laws: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
+    """Laws per domain, the domains of each law in order of rank, and the laws without any. hits: name, code, rank."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "code"))), lambda x: x.code)
+    return {
+        "domains": top(counts(hits, "code"), "n", "code", 1000), "classified": hits.groupBy("name").agg(listed.alias("codes")),
+        "unclassified": laws.select("name").distinct().join(hits.select("name"), "name", "left_anti").orderBy("name"),
+    }
+
+
+def terms_of_several(df: DataFrame, term: str, of: str) -> DataFrame:
+    """term, n, first: terms that stand under several values of a column (a null is a value, but never the first)."""
+    return df.select(term, of).distinct().groupBy(term).agg(F.count("*").alias("n"), F.min(of).alias("first")).where("n > 1")
+
+
 def institutions(df: DataFrame) -> DataFrame:
     """Per institution its provisions and distinct laws. df: suffix, name, iri, law."""
     return df.groupBy("suffix").agg(F.min("name").alias("name"), F.count("*").alias("n_provisions"), F.count_distinct("law").alias("n_laws"))

@@ -61,6 +61,34 @@ def provisions(graph: DataFrame, prefix: str) -> DataFrame:
     return p.select("file_name", "pos", "iri", "types", own("paragrahv").alias("paragrahv"), value_of("rdfs:label").alias("label"), own("sourceAct").alias("source_act"), own("summary").alias("summary"))
 
 
+def dc_source(node: str = "node") -> Column:
+    """The source of a node as one text; a list is joined."""
+    return F.nullif(F.array_join(values_of("dc:source", node), "; "), F.lit(""))
+
+
+def section_number(prefix: str, node: str = "node") -> Column:
+    """The number of a section as text, also where the file has it as a number."""
+    return value_of(f"{prefix}:sectionNumber", node)
+
+
+def court_years(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """jsonld_documents of yearly court files (riigikohus_YYYY_peep.json), with the year, from `first` to `last`."""
+    d = jsonld_documents(spark, path).withColumn("year", F.nullif(F.regexp_extract("file_name", r"^riigikohus_(\d{4})_peep\.json$", 1), F.lit("")).cast("int"))
+    return d.where(F.col("year").isNotNull() & F.col("year").between(first or 0, last or 9999))
+
+
+def abbreviation_registry(spark: SparkSession, path: str) -> DataFrame:
+    """slug, abbrev, source, title, old_prefix from a registry file: a JSON object of entries by slug."""
+    entry = "struct<abbrev: string, source: string, title: string, old_prefix: string>"
+    d = spark.read.option("wholetext", True).text(path).select(F.explode(F.from_json("value", f"map<string, {entry}>")).alias("slug", "e"))
+    return d.select("slug", "e.*")
+
+
+def with_paragraphs(files: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """The files that have any paragraph; statutes without are skipped."""
+    return files.join(paragraphs.select("file_name").distinct(), "file_name", "left_semi")
+
+
 def ontology_iris(graph: DataFrame) -> DataFrame:
     """file_name, iri of the first ontology node of each file."""
     return graph.where(F.array_contains("types", "owl:Ontology")).groupBy("file_name").agg(F.min_by("iri", "pos").alias("iri"))

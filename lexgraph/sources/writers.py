@@ -18,6 +18,14 @@ def combined_graph(nodes: DataFrame) -> DataFrame:
     return nodes.join(first.select(F.col("iri").alias("_i"), "_k"), (F.col("iri") == F.col("_i")) & (F.struct("file_name", "pos") == F.col("_k"))).drop("_i", "_k")
 
 
+def last_part(chains: DataFrame, slug: str = "slug") -> DataFrame:
+    """One chain per base slug for an export with a file each: that of the last part, as its file overwrites the others'."""
+    from ..functions import text as T
+    from ..operators.dedupe import keep_last
+
+    return keep_last(chains.withColumn("base_slug", T.base_slug(F.col(slug))), ["base_slug"], [slug])
+
+
 def reference(iris: Column) -> Column:
     """Identifiers as JSON-LD values: none, one object, or a list of objects, as JSON text."""
     objects = F.transform(iris, lambda x: F.struct(x.alias("@id")))
@@ -49,8 +57,8 @@ def report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def markdown(df: DataFrame, most: int = 1000) -> str:
-    """A report table as Markdown, of at most `most` rows."""
-    rows = df.limit(most).collect()
+def markdown(df: DataFrame) -> str:
+    """A report table as Markdown. Reports are top-k lists or counts per class; the text is built on the driver."""
+    rows = df.collect()
     lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join("" if v is None else ", ".join(map(str, v)) if isinstance(v, list) else str(v) for v in r) + " |" for r in rows]) + "\n"

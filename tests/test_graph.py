@@ -46,6 +46,34 @@ def test_similarity_is_exact(spark):
     assert got == want
 
 
+def test_similar_provisions_of_one_act_or_file_are_left_out(spark):
+    words = "lepingu sõlmimine tähtaeg kohustus täitmine"
+    rows = [("lex:A_Par_1", "Aseadus", "a.json", 0), ("lex:A2_Par_1", "Aseadus", "b.json", 0), ("lex:B_Par_1", "", "a.json", 1), ("lex:C_Par_1", "", "c.json", 0), ("lex:C_Par_2", None, "d.json", 0), ("lex:D_Par_1", "Dseadus", "e.json", 0)]
+    n = spark.createDataFrame([(i, ["lex:LegalProvision"], words, words, act, f, p) for i, act, f, p in rows], "iri string, types array<string>, label string, summary string, source_act string, file_name string, pos int")
+    got = {frozenset((r.a, r.b)) for r in S.keyword_similarity(S.provisions_for_similarity(n, "lex"), apart=S.APART, top=None).collect()}
+    # apart: one act (A, A2), one file (A, B), one prefix (C, C); an act without a name is no common act (B, C)
+    every = {frozenset((x[0], y[0])) for x in rows for y in rows if x[0] < y[0]}
+    assert got == every - {frozenset(p) for p in (("lex:A_Par_1", "lex:A2_Par_1"), ("lex:A_Par_1", "lex:B_Par_1"), ("lex:C_Par_1", "lex:C_Par_2"))}
+
+
+def test_not_yet_present(spark):
+    wanted = spark.createDataFrame([("abc",), ("abcd",), ("x" * 20 + "one",), ("x" * 20 + "two",), ("y" * 20 + "one",), ("zz",), (None,)], "slug string")
+    present = spark.createDataFrame([("abc_osa1",), ("x" * 20 + "three",), ("z",), (None,)], "slug string")
+    got = {r.slug for r in R.not_yet_present(wanted, "slug", present).collect()}
+    assert got == {"abcd", "y" * 20 + "one", "zz", None}
+    assert R.not_yet_present(wanted, "slug", present.limit(0)).count() == 7
+
+
+def test_keyword_hits(spark):
+    from lexgraph.operators import classify as C
+
+    d = spark.createDataFrame([("tax", "maks", False, 2), ("tax", "aktsiis", False, 2), ("law", "k[o]hus", True, 1), ("dot", "a.b", False, 1), ("env", "vesi", False, 1)], "code string, keyword string, is_pattern boolean, threshold int")
+    t = spark.createDataFrame([(1, "Maks ja AKTSIIS, kohus kohus kohus"), (2, "maks"), (3, None), (4, "axb a.b vesi"), (5, "vesi vesi kohus")], "id int, text string")
+    got = [(r.id, r.code, r.hits, r["rank"]) for r in C.keyword_hits(t, "id", "text", d, 2).orderBy("id", "rank").collect()]
+    assert got == [(1, "law", 3, 1), (1, "tax", 2, 2), (4, "dot", 1, 1), (4, "env", 1, 2), (5, "env", 2, 1), (5, "law", 1, 2)]
+    assert C.keyword_hits(t, "id", "text", d.limit(0)).count() == 0
+
+
 def test_near_terms(spark):
     c = spark.createDataFrame([("1", "kaubad", 1), ("2", "kaubas", 2), ("3", "kaup", 3), ("4", "kaubadega", 4), ("5", "kabadd", 5)], "iri string, term_lower string, ord int")
     assert {(r.src, r.dst, r.distance) for r in S.near_terms(c).collect()} == {("1", "2", 1), ("1", "5", 2)}

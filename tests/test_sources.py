@@ -53,6 +53,10 @@ def test_statutes(spark, tmp_path):
     assert got == [(0, "1", None, "1", "Tekst rasvane lõpp."), (1, "1", "2", "76", "Esimene."), (2, "1", "2", "76", "Teine.")]
     laws = spark.createDataFrame([("a.xml", "AS", "Aseadus")], "file_name string, law string, source_act string")
     assert [r.iri for r in E.statute_provisions(p, laws, "lex").orderBy("pos").collect()] == ["lex:AS_Par_1", "lex:AS_Par_76", "lex:AS_Par_76_2"]
+    parts = spark.createDataFrame([("b.xml", i, p, n) for i, (p, n) in enumerate([("1", "1"), ("1", "2"), ("2", "1"), ("2", "1"), ("2", "2")])], "file_name string, pos int, part string, par_nr string")
+    rest = "cast(null as string) display, cast(null as string) title, cast(null as string) summary, cast(null as string) full_text, cast(null as string) chapter, cast(null as string) division"
+    numbered = E.statute_provisions(parts.selectExpr("*", *rest.split(", ")), spark.createDataFrame([("b.xml", "B", "Bseadus")], "file_name string, law string, source_act string"), "lex")
+    assert [r.iri for r in numbered.orderBy("pos").collect()] == ["lex:B_Osa1_Par_1", "lex:B_Osa1_Par_2", "lex:B_Osa2_Par_1", "lex:B_Osa2_Par_1_1", "lex:B_Osa2_Par_2"]
     assert {(r.iri, r.kind, r.n) for r in E.statute_hierarchy(p, laws, "lex").collect()} == {("lex:Chapter_AS_1", "chapter", 2), ("lex:Division_AS_1_2", "division", 1)}
     clusters = E.topic_clusters(p, laws, "lex").collect()
     assert [(c.cluster, c.n, c.label) for c in clusters] == [("lex:Cluster_AS_1", 2, "Üld (§ 1–76)")]
