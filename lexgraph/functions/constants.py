@@ -75,11 +75,13 @@ SECTION = "§(?:§|[\\-‑](?:de(?:s)?|d|s|st|le|i|ga))?"
 NUMBERS = "(\\d+(?:\\s*[\\-–]\\s*\\d+)?)"
 
 #: Words that say nothing about a provision.
-STOPWORDS = tuple(
-    "ja ning või on ei see mis kes mille kelle selle tema oma kui et ka nii aga kuid vaid siis juba veel väga kogu iga kõik üks mõni "
-    "ole olema saab saama teha tegema olla mitte nende neid need seda sellest sellele teda talle temast ise enda endale muu muud muude "
-    "muudest teise teiste teistest sama samu samade samadest käesoleva käesolev seaduse seadus seadusega seaduses paragrahv lõige punkt "
-    "lõikes punktis alusel korral juhul kohta kohaldatakse sätestatud kehtestatud määratud vastavalt järgi kohaselt tähenduses".split()
+STOPWORDS = (
+    "ja", "ning", "või", "on", "ei", "see", "mis", "kes", "mille", "kelle", "selle", "tema", "oma", "kui", "et", "ka", "nii", "aga", "kuid", "vaid",
+    "siis", "juba", "veel", "väga", "kogu", "iga", "kõik", "üks", "mõni", "ole", "olema", "saab", "saama", "teha", "tegema", "olla", "mitte", "nende",
+    "neid", "need", "seda", "sellest", "sellele", "teda", "talle", "temast", "ise", "enda", "endale", "muu", "muud", "muude", "muudest", "teise",
+    "teiste", "teistest", "sama", "samu", "samade", "samadest", "käesoleva", "käesolev", "seaduse", "seadus", "seadusega", "seaduses", "paragrahv",
+    "lõige", "punkt", "lõikes", "punktis", "alusel", "korral", "juhul", "kohta", "kohaldatakse", "sätestatud", "kehtestatud", "määratud", "vastavalt",
+    "järgi", "kohaselt", "tähenduses",
 )
 
 #: Provisions without content of their own.
