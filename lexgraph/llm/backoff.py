@@ -167,7 +167,8 @@ def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, block: int
 
     Words are lower-cased runs of non-space. Null and empty texts have no words and a sum of 0; rows that repeat a
     doc_id are one document (see one_per_id). The tables of all orders cover all documents; equal texts of other ids
-    count as other documents.
+    count as other documents. A text of any length stands whole in one block. A block sends a row per hash range that has
+    any of its n-grams, so rows never outnumber the distinct n-grams of the blocks; n-grams are known by hash_bits of hash.
     """
     own = one_per_id(docs)
     size = own.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()

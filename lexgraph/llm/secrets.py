@@ -129,7 +129,8 @@ def scan(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
 def report(docs: DataFrame, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """Per row of docs: counts by kind, SHA-256 of the base spans, and all spans as `kind:start:end`, comma-joined.
 
-    Null and empty texts give zero counts and the hash of the empty string. No shuffle: one pass over the scan.
+    Null and empty texts give zero counts and the hash of the empty string; repeated rows and rows without an id are scanned
+    each; texts of any length are scanned whole, in time that grows with their length. No shuffle: one pass over the scan.
     """
 
     def rows(batch):

@@ -357,7 +357,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score (nearer 1: toxic likelier), predicted and the restored words, one row per row of docs.
 
-    Null and empty texts have no evidence and get the score of a text without hits.
+    Null and empty texts have no evidence and get the score of a text without hits; repeated rows and rows without an id are
+    scored each; texts and tokens of any length are read whole. An empty table gives an empty result.
     """
     kept: list = []
 
