@@ -34,10 +34,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _release(spark: SparkSession) -> None:
+    """Lets the driver's collector run, which is what makes Spark delete the shuffle files of finished jobs."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage through the shared checkpoint folder, so a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _release(df.sparkSession)
+    return out
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -46,9 +54,7 @@ def stored(df: DataFrame) -> DataFrame:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lexgraph-{uuid.uuid4().hex}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     df.write.parquet(path.toString())
-    # the driver's collector is what lets Spark delete the shuffle files of the finished job
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    _release(spark)
     return spark.read.schema(df.schema).parquet(path.toString())
 
 

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _U, components, durable, map_texts, mix, ngrams, one_per_id, slices, text_buffers, word_hashes
+from .common import _U, components, durable, map_texts, mix, ngrams, slices, stored, text_buffers, word_hashes
 
 #: Registers, bands and registers per band, base and rate of the exponential spacing, largest value.
 M, BANDS, ROWS, BASE, RATE, TOP = 256, 32, 4, 1.1, 20.0, 254
@@ -136,24 +136,63 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return full.select("a", "b", "ta", "tb").mapInArrow(rows, "a bigint, b bigint")
 
 
+class _Family:
+    """Rows of a family in one block, or in two of its blocks, that one task holds."""
+
+    def __init__(self, table, percent: int, least: float):
+        self.rep, self.n, comp = (table.column(c).to_numpy() for c in ("rep", "n", "c"))
+        self.side, self.main = (table.column(c).to_numpy(zero_copy_only=False) for c in ("side", "main"))
+        self.cross = table.column("low")[0].as_py() != table.column("high")[0].as_py()
+        self.regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint8).reshape(-1, M)
+        self.bands = np.ascontiguousarray(self.regs[:, : BANDS * ROWS]).view(np.uint32)  # a band in one number
+        self.percent, self.least = percent, least
+        self.group = np.unique(comp, return_inverse=True)[1]
+
+    def candidates(self):
+        """Rows outside the main component, each with the rows, likeliest first, that share a band with it, lie in another
+        component, may qualify by size and whose joint estimate reaches the least. Main rows are only looked up."""
+        rep, n, main = self.rep, self.n, self.main
+        for i in np.lexsort((rep, main)):
+            if main[i]:
+                return
+            ok = (self.group != self.group[i]) & (main | (rep > rep[i])) & (n * 100 >= n[i] * self.percent) & (n[i] * 100 >= n * self.percent)
+            if self.cross:
+                ok &= self.side != self.side[i]
+            j = np.flatnonzero(ok)
+            j = j[(self.bands[j] == self.bands[i]).any(axis=1)]
+            if len(j):
+                e = joint_estimate(np.broadcast_to(self.regs[i], (len(j), M)), self.regs[j], np.full(len(j), float(n[i])), n[j].astype(float))
+                yield i, j[np.argsort(-e, kind="stable")][: int((e >= self.least).sum())]
+
+
+def _touched(percent: int, least: float):
+    """The rows of a family, between two of its blocks, that have a candidate or are one."""
+
+    def run(table):
+        import pyarrow as pa
+
+        family = _Family(table, percent, least)
+        hit = np.zeros(table.num_rows, bool)
+        for i, found in family.candidates():
+            hit[found] = True
+            hit[i] |= len(found) > 0
+        return table.filter(pa.array(hit))
+
+    return run
+
+
 def _search(k: int, percent: int, least: float):
     """Links of a family between two of its blocks, as a spanning forest of what they join.
 
-    A pair is looked at if it shares a band, lies in different components and may qualify by size; those whose joint
-    estimate reaches `least` are verified on the full sets, likeliest first. What a found link has joined is one component
-    from then on, so links are as few as the rows, and a row of near copies costs one verification.
+    Candidates are verified on the full sets, likeliest first. What a found link has joined is one component from then on,
+    so links are as few as the rows, and a row of near copies costs one verification.
     """
 
     def run(table):
         import pyarrow as pa
 
-        rep, n, comp = (table.column(c).to_numpy() for c in ("rep", "n", "c"))
-        side, main = (table.column(c).to_numpy(zero_copy_only=False) for c in ("side", "main"))
-        low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
-        regs = np.frombuffer(b"".join(table.column("regs").to_pylist()), np.uint8).reshape(-1, M)
-        bands = np.ascontiguousarray(regs[:, : BANDS * ROWS]).view(np.uint32)  # a band in one number
-        texts, sets = table.column("text"), {}
-        _, group = np.unique(comp, return_inverse=True)
+        family, texts, sets = _Family(table, percent, least), table.column("text"), {}
+        group, rep = family.group, family.rep
         out: list[tuple[int, int]] = []
 
         def of(i: int) -> np.ndarray:
@@ -161,18 +200,8 @@ def _search(k: int, percent: int, least: float):
                 sets[i] = text_sets(texts.slice(i, 1), k)[0]
             return sets[i]
 
-        for i in np.lexsort((rep, main)):
-            if main[i]:
-                break  # the main component's rows are only looked up
-            ok = (group != group[i]) & (main | (rep > rep[i])) & (n * 100 >= n[i] * percent) & (n[i] * 100 >= n * percent)
-            if low != high:
-                ok &= side != side[i]
-            j = np.flatnonzero(ok)
-            j = j[(bands[j] == bands[i]).any(axis=1)]
-            if not len(j):
-                continue
-            e = joint_estimate(np.broadcast_to(regs[i], (len(j), M)), regs[j], np.full(len(j), float(n[i])), n[j].astype(float))
-            for x in j[np.argsort(-e, kind="stable")][: int((e >= least).sum())]:
+        for i, found in family.candidates():
+            for x in found:
                 if group[x] == group[i]:
                     continue
                 a, b = of(i), of(x)
@@ -189,7 +218,8 @@ def _across(shared: DataFrame, label: DataFrame, classes: DataFrame, texts: Data
     """Verified links among all pairs that share a bucket and lie in different components, as forests.
 
     Buckets whose pivots lie in one component form a family. Its rows outside that component (the rest) are compared with
-    its rows inside it (the main ones) and with each other, in pairs of blocks; two main rows never are.
+    its rows inside it (the main ones) and with each other, in pairs of blocks; two main rows never are. Registers decide
+    which rows have a candidate; only these are joined with their texts and verified.
     """
     of = label.select(F.col("node").alias("rep"), "component")
     placed = shared.join(of, "rep", "left").select("key", "rep", "pivot", F.coalesce("component", "rep").alias("c"))
@@ -203,28 +233,57 @@ def _across(shared: DataFrame, label: DataFrame, classes: DataFrame, texts: Data
     dealt = rows.join(blocks, "family").withColumn("side", side)
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.when(F.col("main"), F.col("nr")).otherwise(F.col("nr") + F.col("nm")) - 1)))
     dealt = dealt.select("family", "rep", "c", "n", "regs", "main", "side", F.least("side", "o").alias("low"), F.greatest("side", "o").alias("high"))
-    full = dealt.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    touched = durable(dealt.groupBy("family", "low", "high").applyInArrow(_touched(percent, least), dealt.schema))
+    full = touched.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
     return full.groupBy("family", "low", "high").applyInArrow(_search(k, percent, least), "a bigint, b bigint")
 
 
+def _repeats(own: DataFrame) -> bool:
+    return own.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs that has a doc_id.
 
     Documents with equal shingle sets form a class, held by its smallest doc_id; classes stand for their members in
     all that follows. Null and empty texts and texts of spaces have no shingles and link with nothing. Rows that repeat
-    a doc_id have a row each: equal ones the same row, others that of their own text, and of the texts the smallest one is
-    compared for the id's class. Texts of any length are read whole; an empty table gives an empty result. The bands are
-    made for thresholds of 70 % or more: a pair at the threshold shares none of them with a probability of 9e-5 at 70 %.
+    a doc_id are documents of their own with the same name: links are those of each row's text. Texts of any length are
+    read whole; an empty table gives an empty result. The bands are made for thresholds of 70 % or more: a pair at the
+    threshold shares none of them with a probability of 9e-5 at 70 %.
 
     1. In every band's bucket each class is compared with one pivot; each class verifies its best such pair.
     2. Other pivot pairs are verified where they would join different components.
     3. All other pairs of a bucket that lie in different components are estimated and verified, so no link is lost.
     """
-    least = percent / 100 - SLACK
     own = docs.where("doc_id is not null").select("doc_id", "text")
+    if not _repeats(own):
+        out = _groups(own, k, percent)
+    else:
+        rows = stored(own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+        found = _groups(rows.select(F.col("row").alias("doc_id"), "text"), k, percent).withColumnRenamed("doc_id", "row").join(rows.select("row", "doc_id"), "row")
+        first = found.groupBy(F.col("component_id").alias("c")).agg(F.min("doc_id").alias("first"))
+        out = found.join(first, F.col("component_id") == F.col("c")).select("doc_id", "n_shingles", F.col("first").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each group of near-duplicates, that of the smallest doc_id; rows without an id, and those whose
+    text is null or has no words, stay."""
+    known, none = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    if not _repeats(known):
+        kept = _groups(known.select("doc_id", "text"), k, percent).where("doc_id = component_id").select("doc_id")
+        return known.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(none)
+    rows = stored(known.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("d")))
+    found = _groups(rows.select(F.col("row").alias("doc_id"), F.col("d.text").alias("text")), k, percent).withColumnRenamed("doc_id", "row")
+    first = found.join(rows.select("row", "d.doc_id"), "row").groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("x")).select("x.row")
+    return rows.join(first, "row", "left_semi").select("d.*").unionByName(none)
+
+
+def _groups(own: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id of rows with unique ids."""
+    least = percent / 100 - SLACK
     sketch = durable(sketches(own, k))
     classes = durable(sketch.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs")))
-    texts = one_per_id(own)
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
     keyed = classes.select("rep", "regs", band.alias("band")).select("rep", "band", F.xxhash64("band", F.expr(f"substring(regs, band * {ROWS} + 1, {ROWS})")).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
@@ -232,7 +291,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     pairs = shared.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = durable(_estimated(pairs, classes, percent, least))
     best = pairs.groupBy("a").agg(F.max(F.struct("e", (-F.col("b")).alias("m"))).alias("x")).select("a", (-F.col("x.m")).alias("b"))
-    edges = durable(_verified(best, texts, k, percent))
+    edges = durable(_verified(best, own, k, percent))
     label = components(edges)
 
     def named(p: DataFrame) -> DataFrame:
@@ -242,11 +301,11 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
         return p.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
     rest = named(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"))
-    edges = durable(edges.unionByName(_verified(rest, texts, k, percent)))
+    edges = durable(edges.unionByName(_verified(rest, own, k, percent)))
     label = components(edges)
-    more = _across(shared, label, classes, texts, k, percent, least)
+    more = durable(_across(shared, label, classes, own, k, percent, least))
     label = components(edges.unionByName(more))
     of = classes.select("h1", "h2", "rep").join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("c"))
     out = sketch.select("doc_id", "n_shingles", "h1", "h2").join(of, ["h1", "h2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("c")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"))

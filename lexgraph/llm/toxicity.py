@@ -203,7 +203,7 @@ class Model:
     def scorer(self):
         channel, lexicon = Channel(self.counts), self.lexicon
 
-        @lru_cache(maxsize=300_000)
+        @lru_cache(maxsize=100_000)
         def weight(token: str) -> tuple[float, str]:
             """Weight of a token as it stands, else as restored (with the reading)."""
             word = token.strip(_EDGE)
@@ -217,11 +217,11 @@ class Model:
         def plain(word: str) -> float:
             return max(lexicon.get(c, 0.0) for c in cues(word))
 
-        @lru_cache(maxsize=50_000)
+        @lru_cache(maxsize=30_000)
         def restored(word: str) -> tuple[float, str]:
             return max(((plain(r), r) for r in channel.decode(word)), default=(0.0, ""))
 
-        @lru_cache(maxsize=50_000)
+        @lru_cache(maxsize=30_000)
         def segmented(run: str) -> tuple[float, int, str]:
             """Weight of a run of single letters, its words with weight and how many they are."""
             w, reading = restored(run) if len(run) <= LONGEST else (0.0, "")
