@@ -42,14 +42,10 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group (five-word shingles, similarity 0.8), the smallest doc_id.
 
-    Null and empty texts are near to nothing and stay, as do rows without an id. Of rows that repeat an id those with
-    different texts stay together, and of equal ones one stays.
+    Null and empty texts are near to nothing and stay, as do rows without an id. Rows that repeat an id are judged by their
+    own texts.
     """
-    kept = minhash.near_duplicates(docs, k=5, percent=80).where("kept").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        known = known.dropDuplicates(["doc_id", "text"])
-    return known.unionByName(docs.where("doc_id is null"))
+    return minhash.one_of_each(docs, k=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
