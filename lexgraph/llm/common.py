@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
 
 import numpy as np
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _release(spark: SparkSession) -> None:
-    """Lets the driver's collector run, which is what makes Spark delete the shuffle files of finished jobs."""
+    """Lets the driver's collector run, which is what makes Spark delete the shuffle files of finished jobs.
+
+    The listeners' queues hold the last event, and so the plan of the last query, until another comes: a tiny query takes
+    its place, and the queues are waited for (a minute at most)."""
+    spark.range(1).collect()
+    with contextlib.suppress(Py4JJavaError):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
