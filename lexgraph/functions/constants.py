@@ -176,3 +176,24 @@ SANCTION_LABELS = {
     "imprisonment": "Imprisonment", "pecuniary_punishment": "Pecuniary punishment", "fine": "Fine", "arrest": "Arrest",
     "coercive_payment": "Coercive payment",
 }
+
+#: Patterns of sanctions, gazette references and law names.
+LIFE_IMPRISONMENT = r"(?iU)eluaeg\w*\s+vangistus"
+YEARS_IN_WORDS_RANGE = r"(?iU)(\w+)-?\s+kuni\s+(\w+)aasta(?:se)?\s+vangistus"
+YEARS_IN_WORDS = r"(?iU)kuni\s+(\w+)aasta(?:se)?\s+vangistus"
+YEARS_NEAR_PUNISHED = r"(?iUd)karistatakse.*?(\d+).*?aasta(?:se)?\s+vangistus"
+IMPRISONMENT_NUMBER = r"(?iU)vangistus(?:ega)?\s+(\d+)"
+PECUNIARY = r"(?iU)rahalise?\s+karistus"
+FINE_IN_EUROS = r"(?iU)rahatrahv(?:iga)?\s+(?:kuni\s+)?(\d[\d\s]*)\s*eurot"
+COERCIVE_IN_EUROS = r"(?iU)sunniraha\s+kuni\s+(\d[\d\s]*)\s*eurot"
+COERCIVE = r"(?iU)\bsunniraha\b"
+ARREST_DAYS = r"(?iU)aresti?\w*\s+(?:kuni\s+)?(\d+)\s*(?:päeva|ööpäeva)"
+ARREST_DAYS_IN_WORDS = r"(?iU)aresti?\w*\s+(?:kuni\s+)?(\w+)\s+(?:päeva|ööpäeva)"
+ARREST = r"(?iU)\barest"
+ANY_YEARS = r"(?iU)(\d+)\s*aasta"
+ANY_YEARS_IN_WORDS = r"(?iU)(\w+)aasta"
+ANY_AMOUNT = r"(?iU)(\d[\d\s]*)\s*(?:eurot|trahviühiku)"
+ANY_ARREST_DAYS = r"(?iU)arest\w*\s+(?:kuni\s+)?(\d+)\s*(?:päeva|ööpäeva)"
+ANY_COERCIVE = r"(?iU)sunniraha\w*\s+(?:kuni\s+)?(\d[\d\s]*)\s*eurot"
+GAZETTE = r"(?U)RT\s+I{1,2}\s*,\s*(?:\d{2}\.\d{2}\.)?\d{4}\s*,\s*\d+(?:\s*,\s*\d+)?"
+LAW_BEFORE_SECTION = r"(?iU)(\w+seaduse?(?:tiku?)?)\s*§\s*[\d\-]+\s*(?:lg\s*[\d]+)?"

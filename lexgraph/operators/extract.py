@@ -43,8 +43,8 @@ def _family(c: Column, n: int, pattern: str) -> Column:
 
 def law_mentions(c: Column) -> Column:
     """Distinct law names that a court summary cites, abbreviations first."""
-    short = "KarS|VÕS|TsÜS|AÕS|PKS|ÄS|HMS|TsMS|KrMS|TMS|KOKS|PS|PankrS|MKS|TLS"
-    return F.array_distinct(F.concat(_all(c, rf"(?iU)({short})\s*§\s*[\d\-]+", 1), _all(c, r"(?iU)(\w+seaduse?(?:tiku?)?)\s*§\s*[\d\-]+\s*(?:lg\s*[\d]+)?", 1)))
+    short = "|".join(list(K.ABBREVIATIONS)[:15])  # the codes that courts cite by abbreviation come first
+    return F.array_distinct(F.concat(_all(c, rf"(?iU)({short})\s*§\s*[\d\-]+", 1), _all(c, K.LAW_BEFORE_SECTION, 1)))
 
 
 def affected_laws(title: Column) -> Column:
@@ -54,7 +54,7 @@ def affected_laws(title: Column) -> Column:
 
 
 def gazette_references(c: Column) -> Column:
-    found = _all(c, r"(?U)RT\s+I{1,2}\s*,\s*(?:\d{2}\.\d{2}\.)?\d{4}\s*,\s*\d+(?:\s*,\s*\d+)?", 0)
+    found = _all(c, K.GAZETTE, 0)
     return F.array_distinct(F.transform(found, T.collapse))
 
 
@@ -106,23 +106,23 @@ def _unit(c: Column, unit: str) -> Column:
 def imprisonment(c: Column) -> Column:
     """Stages: life; range in words; maximum in words; range and maximum in digits; two digit fallbacks."""
     kind = "imprisonment"
-    life = F.when(c.rlike(r"(?iU)eluaeg\w*\s+vangistus"), F.array(_sanction(kind, F.lit("life")))).otherwise(_none())
-    words = r"(?iU)(\w+)-?\s+kuni\s+(\w+)aasta(?:se)?\s+vangistus"
+    life = F.when(c.rlike(K.LIFE_IMPRISONMENT), F.array(_sanction(kind, F.lit("life")))).otherwise(_none())
+    words = K.YEARS_IN_WORDS_RANGE
     pairs = F.transform(F.arrays_zip(_all(c, words, 1).alias("a"), _all(c, words, 2).alias("b")), lambda z: F.struct(T.number(z["a"]).alias("a"), T.number(z["b"]).alias("b")))
     both = F.filter(pairs, lambda z: z["a"].isNotNull() & z["b"].isNotNull())
     found = F.concat(life, F.transform(both, lambda z: _sanction(kind, _unit(z["b"], "years"), _unit(z["a"], "years"))))
-    upto = F.filter(F.transform(_all(c, r"(?iU)kuni\s+(\w+)aasta(?:se)?\s+vangistus", 1), T.number), lambda x: x.isNotNull())
+    upto = F.filter(F.transform(_all(c, K.YEARS_IN_WORDS, 1), T.number), lambda x: x.isNotNull())
     found = _unless_said(found, F.transform(upto, lambda x: _sanction(kind, _unit(x, "years"))))
     digits = r"(?iU)(\d+)\s*[\-–—]?\s*kuni\s+(\d+)" + _YEARS
     found = _unless_said(found, F.transform(F.arrays_zip(_all(c, digits, 1).alias("a"), _all(c, digits, 2).alias("b")), lambda z: _sanction(kind, _unit(z["b"], "years"), _unit(z["a"], "years"))))
-    for pattern in (r"(?iU)kuni\s+(\d+)" + _YEARS, r"(?iUd)karistatakse.*?(\d+).*?aasta(?:se)?\s+vangistus"):
+    for pattern in (r"(?iU)kuni\s+(\d+)" + _YEARS, K.YEARS_NEAR_PUNISHED):
         found = _unless_said(found, F.transform(_all(c, pattern, 1), lambda x: _sanction(kind, _unit(x, "years"))))
     months = lambda x: _sanction(kind, F.when(x.try_cast("int") <= 20, _unit(x, "years")).otherwise(_unit(x, "months")))
-    return _unless_said(found, F.transform(_all(c, r"(?iU)vangistus(?:ega)?\s+(\d+)", 1), months))
+    return _unless_said(found, F.transform(_all(c, K.IMPRISONMENT_NUMBER, 1), months))
 
 
 def pecuniary(c: Column) -> Column:
-    return F.when(c.rlike(r"(?iU)rahalise?\s+karistus"), F.array(_sanction("pecuniary_punishment", F.lit("500 daily rates")))).otherwise(_none())
+    return F.when(c.rlike(K.PECUNIARY), F.array(_sanction("pecuniary_punishment", F.lit("500 daily rates")))).otherwise(_none())
 
 
 def fines(c: Column) -> Column:
@@ -131,7 +131,7 @@ def fines(c: Column) -> Column:
         _all(c, head + r"(\d+)\s+trahviühiku", 1),
         F.transform(F.filter(_all(c, head + r"(\w+)\s+trahviühiku", 1), lambda x: ~x.rlike("^[0-9]+$") & T.number_word(x).isNotNull()), lambda x: T.number_word(x).cast("string")),
     )
-    euros = F.transform(_all(c, r"(?iU)rahatrahv(?:iga)?\s+(?:kuni\s+)?(\d[\d\s]*)\s*eurot", 1), lambda x: F.replace(x, F.lit(" "), F.lit("")))
+    euros = F.transform(_all(c, K.FINE_IN_EUROS, 1), lambda x: F.replace(x, F.lit(" "), F.lit("")))
     return F.concat(
         F.transform(F.array_distinct(units), lambda x: _sanction("fine", _unit(x, "fine units"))),
         F.transform(F.array_distinct(euros), lambda x: _sanction("fine", _unit(x, "EUR"))),
@@ -139,23 +139,23 @@ def fines(c: Column) -> Column:
 
 
 def coercive(c: Column) -> Column:
-    sums = F.transform(_all(c, r"(?iU)sunniraha\s+kuni\s+(\d[\d\s]*)\s*eurot", 1), lambda x: _sanction("coercive_payment", _unit(F.replace(x, F.lit(" "), F.lit("")), "EUR")))
-    return F.when(F.size(sums) > 0, sums).when(c.rlike(r"(?iU)\bsunniraha\b"), F.array(_sanction("coercive_payment"))).otherwise(_none())
+    sums = F.transform(_all(c, K.COERCIVE_IN_EUROS, 1), lambda x: _sanction("coercive_payment", _unit(F.replace(x, F.lit(" "), F.lit("")), "EUR")))
+    return F.when(F.size(sums) > 0, sums).when(c.rlike(K.COERCIVE), F.array(_sanction("coercive_payment"))).otherwise(_none())
 
 
 def arrest(c: Column) -> Column:
-    days = _all(c, r"(?iU)aresti?\w*\s+(?:kuni\s+)?(\d+)\s*(?:päeva|ööpäeva)", 1)
-    words = F.filter(F.transform(_all(c, r"(?iU)aresti?\w*\s+(?:kuni\s+)?(\w+)\s+(?:päeva|ööpäeva)", 1), T.number_word), lambda x: x.isNotNull())
+    days = _all(c, K.ARREST_DAYS, 1)
+    words = F.filter(F.transform(_all(c, K.ARREST_DAYS_IN_WORDS, 1), T.number_word), lambda x: x.isNotNull())
     of = lambda a: F.transform(a, lambda x: _sanction("arrest", _unit(x, "days")))
-    return F.when(F.size(days) > 0, of(days)).when(F.size(words) > 0, of(words)).when(c.rlike(r"(?iU)\barest"), F.array(_sanction("arrest", F.lit("30 days")))).otherwise(_none())
+    return F.when(F.size(days) > 0, of(days)).when(F.size(words) > 0, of(words)).when(c.rlike(K.ARREST), F.array(_sanction("arrest", F.lit("30 days")))).otherwise(_none())
 
 
 def penalty_fallback(c: Column, kind: Column) -> Column:
     """Maximum penalty by type where the extractor gave none."""
-    years = F.coalesce(F.nullif(F.regexp_extract(c, r"(?iU)(\d+)\s*aasta", 1), F.lit("")), T.number_word(F.regexp_extract(c, r"(?iU)(\w+)aasta", 1)).cast("string"))
-    amount = F.nullif(F.replace(F.regexp_extract(c, r"(?iU)(\d[\d\s]*)\s*(?:eurot|trahviühiku)", 1), F.lit(" "), F.lit("")), F.lit(""))
-    days = F.nullif(F.regexp_extract(c, r"(?iU)arest\w*\s+(?:kuni\s+)?(\d+)\s*(?:päeva|ööpäeva)", 1), F.lit(""))
-    coerce = F.nullif(F.replace(F.regexp_extract(c, r"(?iU)sunniraha\w*\s+(?:kuni\s+)?(\d[\d\s]*)\s*eurot", 1), F.lit(" "), F.lit("")), F.lit(""))
+    years = F.coalesce(F.nullif(F.regexp_extract(c, K.ANY_YEARS, 1), F.lit("")), T.number_word(F.regexp_extract(c, K.ANY_YEARS_IN_WORDS, 1)).cast("string"))
+    amount = F.nullif(F.replace(F.regexp_extract(c, K.ANY_AMOUNT, 1), F.lit(" "), F.lit("")), F.lit(""))
+    days = F.nullif(F.regexp_extract(c, K.ANY_ARREST_DAYS, 1), F.lit(""))
+    coerce = F.nullif(F.replace(F.regexp_extract(c, K.ANY_COERCIVE, 1), F.lit(" "), F.lit("")), F.lit(""))
     return (
         F.when(kind == "imprisonment", _unit(years, "years")).when(kind == "pecuniary_punishment", F.lit("500 daily rates"))
         .when(kind == "fine", F.concat(amount, F.when(F.lower(c).contains("eurot"), F.lit(" EUR")).otherwise(F.lit(" fine units"))))

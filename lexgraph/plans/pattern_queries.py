@@ -67,7 +67,7 @@ with e as (select 'lex:A' || (p_partkey % 9) || '_Par_' || p_size src, 'lex:B_Pa
 select src, dst from e where starts_with(src, 'lex:A3_Par_')""")
 def pattern_references_of_law(spark, sf):
     e = _t(spark, sf, "part").select(F.expr("'lex:A' || (p_partkey % 9) || '_Par_' || p_size").alias("src"), F.lit("references").alias("pred"), F.expr("'lex:B_Par_' || p_partkey").alias("dst"))
-    return Q.references_of_law(e, "lex:A3_Par_").select("src", "dst")
+    return Q.references_of_law(e, "lex:A3").select("src", "dst")
 
 
 @_register("select p_partkey, p_size from part where p_size % 10 = 3")
@@ -90,7 +90,7 @@ def pattern_mutual_references(spark, sf):
 def pattern_drafts_on_law(spark, sf):
     laws = _t(spark, sf, "customer").select(_iri("c", "c_custkey").alias("iri"), F.col("c_mktsegment").alias("title"))
     drafts = _orders(spark, sf).select("iri", F.col("o_orderpriority").alias("label"), F.col("o_orderstatus").alias("phase"))
-    return Q.drafts_on_law(_edges(spark, sf), laws, drafts, "AUTO").withColumnRenamed("label", "label_text")
+    return Q.drafts_on_law(_edges(spark, sf), laws, drafts, "AUTO").select("src", "dst", "title", F.col("label").alias("label_text"), "phase")
 
 
 @_register(f"select distinct iri law, 'c' || c_custkey directive from {_ORDERS} where o_orderstatus = 'P'")
@@ -107,7 +107,7 @@ def pattern_transposing_laws(spark, sf):
 select 'lex:A' || (l_suppkey % 5) || '_Par_' || l_linenumber provision_iri, l_returnflag sanction_type, l_quantity max_penalty, l_orderkey from lineitem where l_suppkey % 5 = 2""")
 def pattern_sanctions_of(spark, sf):
     s = _t(spark, sf, "lineitem").select(F.expr("'lex:A' || (l_suppkey % 5) || '_Par_' || l_linenumber").alias("provision_iri"), F.col("l_returnflag").alias("sanction_type"), F.col("l_quantity").alias("max_penalty"), "l_orderkey")
-    return Q.sanctions_of(s, "lex:A2_Par_")
+    return Q.sanctions_of(s, "lex:A2")
 
 
 @_register(f"select iri src, 'c' || c_custkey dst, c_name as label_text from {_ORDERS}")
@@ -119,7 +119,7 @@ def pattern_authorities(spark, sf):
 @_register("select p_partkey from part where p_size <= 10 and p_partkey % 4 = 1")
 def pattern_provisions_of_type(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", F.expr("'lex:L' || (p_partkey % 4) || '_Par_' || p_partkey").alias("iri"), F.when(F.col("p_size") <= 10, "Right").otherwise("Obligation").alias("normative_type"))
-    return Q.provisions_of_type(p, "Right", "lex:L1_Par_").select("p_partkey")
+    return Q.provisions_of_type(p, "Right", "lex:L1").select("p_partkey")
 
 
 @_register("select l_orderkey, 'e' || l_orderkey || '_' || l_linenumber dst, min(l_shipdate)::date::varchar amendment_day from lineitem where l_suppkey = 3 group by 1, 2")

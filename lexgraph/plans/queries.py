@@ -416,9 +416,10 @@ with e(clause, ord, sanction_type, max_penalty, min_penalty) as (values (1,0,'im
 (3,0,'fine','300 fine units',null),(3,1,'arrest','30 days',null),(4,0,'coercive_payment','2000 EUR',null),(5,0,'arrest','30 days',null),(7,0,'imprisonment','life',null))
 select o_orderkey, e.* from orders join e on clause = o_orderkey % 7 + 1""")
 def sanction_extract(spark, sf):
-    c = spark.createDataFrame(_CLAUSES, "clause int, text string")
-    o = _t(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 7 + 1).cast("int").alias("clause")).join(F.broadcast(c), "clause")
-    return X.sanctions(o).select("o_orderkey", "clause", "ord", "sanction_type", "max_penalty", "min_penalty")
+    """Clauses are extracted once each; orders only refer to them."""
+    found = X.sanctions(spark.createDataFrame(_CLAUSES, "clause int, text string"))
+    o = _t(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 7 + 1).cast("int").alias("clause"))
+    return o.join(F.broadcast(found), "clause").select("o_orderkey", "clause", "ord", "sanction_type", "max_penalty", "min_penalty")
 
 
 @_register("""

@@ -52,6 +52,11 @@ def jsonld_lines(df: DataFrame, iri: str, types: str, properties: dict[str, str]
     return df.select(F.concat(F.lit("{"), F.concat_ws(",", head, *(member(c, n) for c, n in properties.items())), F.lit("}")).alias("value"))
 
 
+def pretty(df: DataFrame) -> DataFrame:
+    """Every row as indented JSON text, signs beyond ASCII as they are: an export for people to read."""
+    return df.select(F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("value"))
+
+
 def report(df: DataFrame, path: str) -> None:
     """A small report as JSON lines in one file."""
     df.coalesce(1).write.mode("overwrite").json(path)

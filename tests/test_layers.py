@@ -98,6 +98,8 @@ def test_targets_and_registries(spark, tmp_path):
     assert (n.s, n.n) == ("a; b", "7")
     chains = spark.createDataFrame([("k_osa1", 1), ("k_osa2", 2), ("m", 3)], "slug string, total int")
     assert {(r.base_slug, r.total) for r in writers.last_part(chains).collect()} == {("k", 2), ("m", 3)}
+    text = writers.pretty(spark.createDataFrame([("õigus", [1])], "a string, b array<int>")).first().value
+    assert "\n" in text and '"a" : "õigus"' in text
     files = spark.createDataFrame([("1.xml",), ("2.xml",)], "file_name string")
     assert [r.file_name for r in readers.with_paragraphs(files, files.limit(1)).collect()] == ["1.xml"]
     hits = spark.createDataFrame([("A", "tax", 1), ("A", "law", 2), ("B", "tax", 1)], "name string, code string, rank int")
