@@ -30,7 +30,7 @@ from .common import stored
 PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 #: A word is very common if its bucket of the frequency table holds this many times the mean of all buckets.
 COMMON = 16
 #: Lines of so many words have bitmaps of 128 bits, shorter ones of 64.
@@ -55,7 +55,7 @@ def rarity(docs: DataFrame) -> tuple[list[int], int]:
     words. A word's order key starts with its class."""
     word = F.explode(_split(F.replace(F.col("text"), F.lit("\n"), F.lit(" "))))
     counts = docs.select(word.alias("w")).where("w <> ''").groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()
-    # two digits at most: the table stands in the plan of the query, and Spark logs plans
+    # two digits at most, and few buckets: the table stands in the plan of the query, which Spark keeps and logs as text
     grade = lambda n: min(99, 4 * (n.bit_length() - 1) + int(4 * n / (1 << (n.bit_length() - 1))) - 4) if n else 0
     out = [0] * BUCKETS
     for b, n in counts:
