@@ -177,9 +177,9 @@ def singular(c: Column) -> Column:
 
 def keywords(c: Column, least: int = 4, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
     """The set of telling words of a text, in order of appearance."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-zäöüõšž]+"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(f"[a-zäöüõšž]{{{max(1, least)},}}"), F.lit(0))
     stop = F.array(*(F.lit(w) for w in stopwords)) if stopwords else F.array().cast("array<string>")
-    return F.array_except(F.filter(words, lambda w: F.length(w) >= least), stop)
+    return F.array_except(words, stop)
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import contextlib
-import gc
-import tempfile
-import uuid
-
 import numpy as np
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.stage import release, shared_folder, stored  # noqa: F401
+
 _U = np.uint64
 #: Odd multiplier of the polynomial hash and its inverse modulo 2**64.
 _P = 0x9E3779B97F4A7C15
@@ -23,49 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names, or else the one set on the context. Without either, a temporary folder
-    serves on one machine only; on a cluster that is an error, as executors would not see each other's files."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="lexgraph-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def _release(spark: SparkSession) -> None:
-    """Lets the driver's collector run, which is what makes Spark delete the shuffle files of finished jobs.
-
-    The listeners' queues hold the last event, and so the plan of the last query, until another comes: a tiny query takes
-    its place, and the queues are waited for (a minute at most)."""
-    spark.range(1).collect()
-    with contextlib.suppress(Py4JJavaError):
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage through the shared checkpoint folder, so a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
     out = df.checkpoint(eager=True)
-    _release(df.sparkSession)
+    release(df.sparkSession)
     return out
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through a columnar table in the shared checkpoint folder, removed when the driver ends."""
-    spark = df.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lexgraph-{uuid.uuid4().hex}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    df.write.parquet(path.toString())
-    _release(spark)
-    return spark.read.schema(df.schema).parquet(path.toString())
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (node, component) with the smallest node as component.
 
