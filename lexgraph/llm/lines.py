@@ -137,7 +137,8 @@ def _entries(distinct: DataFrame, classes: Column, common: int, percent: int, le
     keyed = keyed.select("t", "d", "m", "h", "ucn", F.explode("s").alias("pw"))
     # none of the columns is ever null, but only coalesce says so: no filter on nulls then tells one use from another
     sure = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
-    out = {"w": F.col("pw").bitwiseAND(F.lit(_WORD)), "d": F.col("d"), "m": F.col("m"), "h": F.col("h"), "ucnp": F.col("ucn").bitwiseOR(F.shiftright("pw", 40))}
+    # in an order that puts the zero bytes of w, h and d beside each other, which the exchange then compresses
+    out = {"m": F.col("m"), "ucnp": F.col("ucn").bitwiseOR(F.shiftright("pw", 40)), "w": F.col("pw").bitwiseAND(F.lit(_WORD)), "h": F.col("h"), "d": F.col("d")}
     return keyed.select("t", *(sure(c).alias(name) for name, c in out.items()))
 
 
@@ -174,14 +175,24 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     open_ = found.where("x is null or x.far >= 0").join(done, ["t", "u"], "left_anti").select("t", "u", F.inline("rows"))
     # the optimiser would move a semi-join in front of the exchange, but not past this filter, which is always true
     near = entries.where(F.spark_partition_id() >= 0).join(named(open_.select(*columns)), F.expr(f"w = o_w and {_may_match(other, own, percent)}"), "left_semi")
+    firsts = distinct.where((F.col("copies") > 1) & (F.size(F.array_distinct(_words(F.col("line")))) >= least)).select("t", "u", "r")
+
+    # stored in one go, so that the exchanges of texts and entries serve all of it and are gone before the last joins
+    late = late.select(F.struct(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).alias("r"))
+    parts = {"late": late, "open": full(open_), "near": full(near.withColumn("u", F.expr(own["u"]))), "first": firsts}
+    every_part = None
+    for kind, part in parts.items():
+        part = part.select(F.lit(kind).alias("kind"), *part.columns)
+        every_part = part if every_part is None else every_part.unionByName(part, allowMissingColumns=True)
+    kept = stored(every_part)
+    part = lambda kind: kept.where(F.col("kind") == kind).select(*parts[kind].columns)
     shared = "size(array_intersect(words, o_words))"
     match = f"w = o_w and {_may_match(own, other, percent)} and o_r < r and {shared} * 100 >= (size(words) + size(o_words) - {shared}) * {percent}"
-    more = full(open_).join(named(full(near.withColumn("u", F.expr(own["u"])))), F.expr(match), "left_semi").select(F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"))
-    late = late.unionByName(more).distinct().select(F.col("d").alias("doc_id"), F.col("l").alias("line_no"))
+    more = part("open").join(named(part("near")), F.expr(match), "left_semi").select("r")
+    late = part("late").unionByName(more).distinct().select("r.doc_id", "r.line_no")
 
     # later copies of a line: found by hash
-    firsts = distinct.where((F.col("copies") > 1) & (F.size(F.array_distinct(_words(F.col("line")))) >= least)).select("t", "u", "r")
-    copies = every.select("doc_id", "line_no", "t", "u").join(firsts, ["t", "u"]).where("doc_id <> r.doc_id or line_no <> r.line_no").select("doc_id", "line_no")
+    copies = every.select("doc_id", "line_no", "t", "u").join(part("first"), ["t", "u"]).where("doc_id <> r.doc_id or line_no <> r.line_no").select("doc_id", "line_no")
     return late.unionByName(copies)
 
 
