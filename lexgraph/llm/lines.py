@@ -91,10 +91,12 @@ def _signatures(keys: Column, n: Column, common: int, percent: int) -> Column:
 
 
 def _fields(of: str) -> dict[str, str]:
-    """SQL of the fields of an index entry whose columns start with `of`."""
+    """SQL of the fields of an index entry whose columns start with `of`. From the low byte of ucnp: the upper two bytes of
+    position and size, which are mostly zero and lie beside other zeros, then copies, hash, and their low bytes."""
     return {
-        "d": f"{of}d", "t": f"{of}t", "m": f"{of}m", "h": f"{of}h", "u": f"cast(shiftrightunsigned({of}ucnp, 56) as int)",
-        "c": f"(shiftright({of}ucnp, 48) & 255)", "n": f"(shiftright({of}ucnp, 24) & 16777215)", "p": f"({of}ucnp & 16777215)",
+        "d": f"{of}d", "t": f"{of}t", "m": f"{of}m", "h": f"{of}h", "u": f"cast(shiftrightunsigned({of}ucnp, 40) & 255 as int)",
+        "c": f"(shiftright({of}ucnp, 32) & 255)", "n": f"((shiftright({of}ucnp, 48) & 255) | (shiftright({of}ucnp, 8) & 16776960))",
+        "p": f"(shiftrightunsigned({of}ucnp, 56) | (shiftleft({of}ucnp, 8) & 16776960))",
     }
 
 
@@ -109,11 +111,13 @@ def _distance(x: dict[str, str], y: dict[str, str]) -> str:
 def _may_match(x: dict[str, str], y: dict[str, str], percent: int) -> str:
     """Length, bitmap, positional and order filters of an entry x and one of a line y that is earlier or of the same
     document, as SQL. The word of the entries counts as the first that the lines share, so all they share follows it."""
+    # cheap and strict ones first: order, then the bits of m alone, in which two lines never differ more than in all
     return (
-        f"{x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
+        f"({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['t']} <> {x['t']}))"
+        f" and bit_count({x['m']} ^ {y['m']}) * {100 + percent} <= ({x['n']} + {y['n']}) * {100 - percent}"
+        f" and {x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
         f" and {_distance(x, y)} * {100 + percent} <= ({x['n']} + {y['n']}) * {100 - percent}"
         f" and least({x['n']} - {x['p']}, {y['n']} - {y['p']}) * {100 + percent} >= ({x['n']} + {y['n']}) * {percent}"
-        f" and ({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['t']} <> {x['t']}))"
     )
 
 
@@ -131,14 +135,15 @@ def _entries(distinct: DataFrame, classes: Column, common: int, percent: int, le
     keyed = keyed.select(
         "t", F.col("r.doc_id").alias("d"), _parity(F.col("k")).alias("m"),
         F.when(F.col("n") >= LONG, _parity(F.col("k"), True)).otherwise(F.lit(0).cast("bigint")).alias("h"),
-        F.expr("(cast(u as bigint) << 56) | (least(copies, 255) << 48) | (cast(n as bigint) << 24)").alias("ucn"), _signatures(F.col("k"), F.col("n"), common, percent).alias("s"),
+        F.expr("(cast(n & 255 as bigint) << 48) | (cast(u as bigint) << 40) | (least(copies, 255) << 32) | (cast(n & 16776960 as bigint) << 8)").alias("ucn"), _signatures(F.col("k"), F.col("n"), common, percent).alias("s"),
     )
     # a second step, so that the bitmaps are not computed again for each word
     keyed = keyed.select("t", "d", "m", "h", "ucn", F.explode("s").alias("pw"))
     # none of the columns is ever null, but only coalesce says so: no filter on nulls then tells one use from another
     sure = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
-    # in an order that puts the zero bytes of w, h and d beside each other, which the exchange then compresses
-    out = {"m": F.col("m"), "ucnp": F.col("ucn").bitwiseOR(F.shiftright("pw", 40)), "w": F.col("pw").bitwiseAND(F.lit(_WORD)), "h": F.col("h"), "d": F.col("d")}
+    # in an order that puts the zero bytes of w and ucnp, and of d and h, beside each other, which the exchange then compresses
+    ucnp = F.expr("ucn | (shiftright(pw, 40) << 56) | shiftright(pw, 48)")
+    out = {"m": F.col("m"), "w": F.col("pw").bitwiseAND(F.lit(_WORD)), "ucnp": ucnp, "d": F.col("d"), "h": F.col("h")}
     return keyed.select("t", *(sure(c).alias(name) for name, c in out.items()))
 
 

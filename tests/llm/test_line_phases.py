@@ -35,3 +35,19 @@ def test_the_last_joins_read_stored_parts(spark):
     # neither the entries of words nor the lines with their texts are exchanged any more
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "RepartitionByExpression" not in plan
+
+
+def test_entries_keep_their_fields_and_compress(spark):
+    """Fields of index entries come back whole, sizes over 255 and 65535 too; of a usual line, only few bytes are not zero."""
+    from pyspark.sql import functions as F
+
+    sizes = {1: 12, 2: 300, 3: 70_000}
+    rows = [(i, 1, (i, 0), i * 100, " ".join(f"l{i}w{k}" for k in range(n))) for i, n in sizes.items()]
+    distinct = spark.createDataFrame(rows, "t bigint, u int, r struct<doc_id:bigint,line_no:int>, copies bigint, line string").withColumn("u", F.col("t").cast("int") * 85)
+    out = lines._entries(distinct, F.array_repeat(F.lit(1).cast("tinyint"), lines.BUCKETS), 99, 80, 5)
+    got = out.select("t", "d", "ucnp", *(F.expr(lines._fields("")[c]).alias(f"f_{c}") for c in "ucnp")).collect()
+    for i, n in sizes.items():
+        own = [r for r in got if r.t == i]
+        assert {(r.d, r.f_u, r.f_c, r.f_n) for r in own} == {(i, i * 85, min(i * 100, 255), n)}
+        assert sorted(r.f_p for r in own) == list(range(n // 5 + 1))
+    assert all(r.ucnp & 0xFFFFFFFF == 0 for r in got if r.t == 1)
