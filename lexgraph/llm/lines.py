@@ -4,13 +4,14 @@ DataFrame operations only. A line is the set of its lower-cased words; two lines
 that matches any earlier one (order: doc_id, line number) is removed. Lines under `least` distinct words are left alone.
 
 1. Equal lines are counted under their first occurrence; the later ones are removed, the first stands for them.
-2. The words of a line are ordered by rarity (frequency class over all texts, then hash). Lines that match share two
-   words of their prefixes and are brought together by the first that they share; where that word is a very common one,
-   by it and the second. A parity bitmap bounds the difference of two sets.
-3. In every group of a key, a line is compared with a pivot first, the most copied line. Only lines without a close
-   earlier pivot in any of their groups are compared with all earlier lines of the groups, so that a group of near copies
-   costs as many pairs as it has lines.
-4. Pairs are verified on the full sets. A line whose pivots all fail is then compared with everything in its groups.
+2. The words of a line are ordered by rarity: those that show in a table of frequencies by their class, before them all
+   others, the longest first, as these are rare in most texts, then by hash. Lines that match share two words of their
+   prefixes and are brought together by the first that they share; where that word is a very common one, by it and the
+   second. A parity bitmap bounds the difference of two sets.
+3. The entries that may match another one of their group are stored, with the texts of their lines; the rest plays no part
+   any more. In every group of a key, a line is compared with a pivot first, the most copied line of those stored.
+4. Pairs are verified on the full sets, first those of a line and its closest pivot. A line whose pivot fails is then
+   compared with everything in its groups, so that a group of near copies costs as many pairs as it has lines.
 
 Null texts have no lines, empty texts one empty line. Lines of any length count whole (up to 2**24 distinct words). Rows
 that repeat a doc_id share their line numbers, so a line removed in one of them is removed in all; rows without a doc_id
@@ -30,9 +31,11 @@ from .common import stored
 PERCENT = 80
 LEAST_WORDS = 5
 #: Size of the table of word frequencies by hash: fixed, whatever the vocabulary.
-BUCKETS = 1 << 14
-#: A word is very common if its bucket of the frequency table holds this many times the mean of all buckets.
+BUCKETS = 1 << 16
+#: A word is very common if its bucket of the frequency table holds this many times the mean of 2**14 buckets.
 COMMON = 16
+#: First order class of words whose bucket holds more than the mean; below it are the others, by length.
+SHOWN = 64
 #: Lines of so many words have bitmaps of 128 bits, shorter ones of 64.
 LONG = 96
 
@@ -50,24 +53,34 @@ def _words(line: Column) -> Column:
     return F.array_remove(_split(line), "")
 
 
+def _hashes(line: Column) -> Column:
+    """Distinct words of a line as 64-bit hashes, in no order."""
+    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+
+
 def rarity(docs: DataFrame) -> tuple[list[int], int]:
-    """Quarter-octave frequency class of each hash bucket of words, over all texts, and the least class of very common
-    words. A word's order key starts with its class."""
+    """Order class of each hash bucket of words, over all texts, and the least class of very common words: 0 for buckets
+    that hold no more than the mean, for the others their frequency in quarter octaves, from SHOWN on."""
     word = F.explode(_split(F.replace(F.col("text"), F.lit("\n"), F.lit(" "))))
     counts = docs.select(word.alias("w")).where("w <> ''").groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("b")).count().collect()
-    # two digits at most, and few buckets: the table stands in the plan of the query, which Spark keeps and logs as text
-    grade = lambda n: min(99, 4 * (n.bit_length() - 1) + int(4 * n / (1 << (n.bit_length() - 1))) - 4) if n else 0
+    total = sum(n for _, n in counts)
+    octaves = lambda n: 4 * (n.bit_length() - 1) + int(4 * n / (1 << (n.bit_length() - 1))) - 4
+    mean = 1 + total // BUCKETS
+    # three digits at most, and few buckets: the table stands in the plan of the query, which Spark keeps and logs as text
+    grade = lambda n: min(127, SHOWN + octaves(n) - octaves(mean)) if n > mean else 0
     out = [0] * BUCKETS
     for b, n in counts:
         out[b] = grade(n)
-    return out, grade(1 + COMMON * sum(n for _, n in counts) // BUCKETS)
+    return out, grade(2 + mean + COMMON * total // (1 << 14))
 
 
 def _keys(line: Column, classes: Column) -> Column:
-    """Distinct words of a line as 64-bit keys in order of rarity: the class in the high byte, then 56 bits of hash."""
-    hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
-    graded = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))
-    return F.sort_array(F.array_distinct(graded))
+    """Distinct words of a line as 64-bit keys in order of rarity: the class in the high byte, then 56 bits of hash. Words
+    of class 0 have one by their length instead: long ones are rare, though their buckets do not tell."""
+    of = lambda w: F.get(classes, F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("int")
+    graded = lambda w: F.greatest(of(w), F.lit(SHOWN - 1) - F.octet_length(w)).cast("bigint")
+    key = lambda w: F.shiftleft(graded(w), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
+    return F.sort_array(F.array_distinct(F.transform(_words(line), key)))
 
 
 def _parity(keys: Column, upper: bool = False) -> Column:
@@ -108,13 +121,14 @@ def _distance(x: dict[str, str], y: dict[str, str]) -> str:
     )
 
 
-def _may_match(x: dict[str, str], y: dict[str, str], percent: int) -> str:
+def _may_match(x: dict[str, str], y: dict[str, str], percent: int, ordered: bool = True) -> str:
     """Length, bitmap, positional and order filters of an entry x and one of a line y that is earlier or of the same
-    document, as SQL. The word of the entries counts as the first that the lines share, so all they share follows it."""
+    document, or any other line unless `ordered`, as SQL. The word of the entries counts as the first that the lines share,
+    so all they share follows it."""
     # cheap and strict ones first: order, then the bits of m alone, in which two lines never differ more than in all
+    order = f"({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['t']} <> {x['t']}))" if ordered else f"({y['d']} <> {x['d']} or {y['t']} <> {x['t']})"
     return (
-        f"({y['d']} < {x['d']} or ({y['d']} = {x['d']} and {y['t']} <> {x['t']}))"
-        f" and bit_count({x['m']} ^ {y['m']}) * {100 + percent} <= ({x['n']} + {y['n']}) * {100 - percent}"
+        f"{order} and bit_count({x['m']} ^ {y['m']}) * {100 + percent} <= ({x['n']} + {y['n']}) * {100 - percent}"
         f" and {x['n']} * 100 >= {y['n']} * {percent} and {y['n']} * 100 >= {x['n']} * {percent}"
         f" and {_distance(x, y)} * {100 + percent} <= ({x['n']} + {y['n']}) * {100 - percent}"
         f" and least({x['n']} - {x['p']}, {y['n']} - {y['p']}) * {100 + percent} >= ({x['n']} + {y['n']}) * {percent}"
@@ -138,7 +152,8 @@ def _entries(distinct: DataFrame, classes: Column, common: int, percent: int, le
         F.expr("(cast(n & 255 as bigint) << 48) | (cast(u as bigint) << 40) | (least(copies, 255) << 32) | (cast(n & 16776960 as bigint) << 8)").alias("ucn"), _signatures(F.col("k"), F.col("n"), common, percent).alias("s"),
     )
     # a second step, so that the bitmaps are not computed again for each word
-    keyed = keyed.select("t", "d", "m", "h", "ucn", F.explode("s").alias("pw"))
+    # (s is never empty, but only explode_outer does without a filter that computes it once more)
+    keyed = keyed.select("t", "d", "m", "h", "ucn", F.explode_outer("s").alias("pw"))
     # none of the columns is ever null, but only coalesce says so: no filter on nulls then tells one use from another
     sure = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
     # in an order that puts the zero bytes of w and ucnp, and of d and h, beside each other, which the exchange then compresses
@@ -153,66 +168,65 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_WO
     classes = F.from_json(F.lit(json.dumps(grades, separators=(",", ":"))), "array<tinyint>")
     every = lines(docs)
     distinct = every.groupBy("t", "u").agg(F.min(F.struct("doc_id", "line_no")).alias("r"), F.count("*").alias("copies"), F.first("line").alias("line"))
-    # one exchange by word serves the windows and both sides of the joins, which therefore use the same rows and columns
-    entries = _entries(distinct, classes, common, percent, least).repartition("w")
+    # one exchange by word serves both sides of the join, which therefore use the same columns; in it, w and the upper half
+    # of ucnp are one number, so that all zero bytes of an entry lie together
+    word = F.expr("shiftrightunsigned(wu, 32)")
+    packed = _entries(distinct, classes, common, percent, least).select(
+        "t", "m", F.expr("(w << 32) | shiftrightunsigned(ucnp, 32)").alias("wu"), "d", "h", F.col("ucnp").bitwiseAND(F.lit(_WORD)).alias("rest"))
+    entries = packed.repartition(word).select(word.alias("w"), "t", "d", "m", "h", F.expr("(wu << 32) | rest").alias("ucnp"))
     columns = ("w", "t", "d", "m", "h", "ucnp")
     own, x, other = _fields(""), _fields("x."), _fields("o_")
-    me = F.struct(F.expr(own["c"]).alias("c"), (-F.col("d")).alias("nd"), "d", "t", "m", "h", "ucnp")
-    whole = W.partitionBy("w")
-    grouped = entries.withColumns({"size": F.count("*").over(whole), "x": F.max(me).over(whole)}).where("size > 1")
-    grouped = grouped.withColumn("pivot", F.expr(f"coalesce({_may_match(own, x, percent)}, false)"))
     named = lambda df: df.select(*(F.col(c).alias(f"o_{c}") for c in df.columns))
 
-    # per line: its closest pivot, and its rows that have one or may match any other line of their groups; both uses below
-    # name all columns, so that one exchange serves them
+    # per line: its entries that may match any other of their groups. Every line that has some is stored once with its text,
+    # as is the first of equal lines, so that the exchanges of texts and entries are gone before the rest
+    # the optimiser would move the semi-join in front of the exchange, but not past this filter, which is always true
+    # most pairs end at a bound that needs little more than the bitmaps: the other line has at most 100 / percent times the words
+    rows = entries.where(F.spark_partition_id() >= 0).withColumn("bound", F.expr(f"{own['n']} * {100 - percent} div {percent}"))
+    rows = rows.join(named(entries), F.expr(f"w = o_w and bit_count(m ^ o_m) <= bound and {_may_match(own, other, percent, ordered=False)}"), "left_semi")
+    found = rows.withColumn("u", F.expr(own["u"])).groupBy("t", "u").agg(F.collect_list(F.struct("w", "d", "m", "h", "ucnp")).alias("rows"))
+    enough = F.size(F.array_distinct(_words(F.col("line")))) >= least
+    lone = F.col("rows").isNull()
+    kept = distinct.join(found, ["t", "u"], "left").select("t", "u", "r", ((F.col("copies") > 1) & enough).alias("first"), F.when(~lone, F.col("line")).alias("line"), "rows")
+    kept = stored(kept.where("rows is not null or first"))
+    texts = kept.where("rows is not null").select("t", "u", "r", "line")
+    listed = kept.where("rows is not null").select("t", "u", F.inline("rows"))
+
+    # the closest pivot of each line
+    me = F.struct(F.expr(own["c"]).alias("c"), (-F.col("d")).alias("nd"), "d", "t", "m", "h", "ucnp")
     far = F.expr(f"{_distance(own, x)} * 4096 div ({own['n']} + {x['n']})").alias("far")
-    rows = grouped.select(*columns, F.expr(own["u"]).alias("u"), "pivot", F.when(F.col("pivot"), F.struct(far, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"))).alias("x"))
-    rows = rows.join(named(entries), F.expr(f"w = o_w and (pivot or {_may_match(own, other, percent)})"), "left_semi")
-    found = rows.groupBy("t", "u").agg(F.min("x").alias("x"), F.collect_list(F.struct("w", "d", "m", "h", "ucnp")).alias("rows"))
-    checked = _compared(found.where("x is not null and size(rows) > 0").select("t", "u", "x.ot", "x.ou"), distinct, percent).where("ok")
-    late = checked.select("d", "l")
-
-    # the rows of lines that match no pivot, and in turn all lines that may match one of these, meet with their words, and
-    # it is asked whether any matches: nowhere is a row made for a pair. d and l are used as above
-    words = F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))
-    full = lambda rows: rows.join(distinct.where("copies > 0").select("t", "u", "r", F.array_distinct(words).alias("words")), ["t", "u"])
-    done = checked.where("d is not null or l is not null").select("t", "u")
-    open_ = found.where("x is null or x.far >= 0").join(done, ["t", "u"], "left_anti").select("t", "u", F.inline("rows"))
-    # the optimiser would move a semi-join in front of the exchange, but not past this filter, which is always true
-    near = entries.where(F.spark_partition_id() >= 0).join(named(open_.select(*columns)), F.expr(f"w = o_w and {_may_match(other, own, percent)}"), "left_semi")
-    firsts = distinct.where((F.col("copies") > 1) & (F.size(F.array_distinct(_words(F.col("line")))) >= least)).select("t", "u", "r")
-
-    # stored in one go, so that the exchanges of texts and entries serve all of it and are gone before the last joins
-    late = late.select(F.struct(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).alias("r"))
-    parts = {"late": late, "open": full(open_), "near": full(near.withColumn("u", F.expr(own["u"]))), "first": firsts}
-    every_part = None
-    for kind, part in parts.items():
-        part = part.select(F.lit(kind).alias("kind"), *part.columns)
-        every_part = part if every_part is None else every_part.unionByName(part, allowMissingColumns=True)
-    kept = stored(every_part)
-    part = lambda kind: kept.where(F.col("kind") == kind).select(*parts[kind].columns)
+    pivots = listed.withColumn("x", F.max(me).over(W.partitionBy("w"))).where(_may_match(own, x, percent))
+    pivots = pivots.groupBy("t", "u").agg(F.min(F.struct(far, *(F.expr(x[c]).alias(f"o{c}") for c in "tu"))).alias("x"))
+    checked = stored(_compared(pivots.select("t", "u", "x.ot", "x.ou"), texts, percent).where("ok").drop("ok"))
+    late, done = checked.select(F.struct(F.col("d").alias("doc_id"), F.col("l").alias("line_no")).alias("r")), checked.select("t", "u")
+
+    # the rows of lines that do not match their pivot, and in turn all lines that may match one of these, meet with their
+    # words, and it is asked whether any matches: nowhere is a row made for a pair
+    full = lambda rows: rows.join(texts.select("t", "u", "r", _hashes(F.col("line")).alias("words")), ["t", "u"])
+    named_rows = named(listed.select(*columns))
+    open_ = listed.join(done, ["t", "u"], "left_anti").join(named_rows, F.expr(f"w = o_w and {_may_match(own, other, percent)}"), "left_semi")
+    near = listed.join(named(open_.select(*columns)), F.expr(f"w = o_w and {_may_match(other, own, percent)}"), "left_semi")
     shared = "size(array_intersect(words, o_words))"
-    match = f"w = o_w and {_may_match(own, other, percent)} and o_r < r and {shared} * 100 >= (size(words) + size(o_words) - {shared}) * {percent}"
-    more = part("open").join(named(part("near")), F.expr(match), "left_semi").select("r")
-    late = part("late").unionByName(more).distinct().select("r.doc_id", "r.line_no")
+    match = f"w = o_w and {_may_match(own, other, percent)} and o_r < r and {shared} * {100 + percent} >= (size(words) + size(o_words)) * {percent}"
+    more = full(open_).join(named(full(near)), F.expr(match), "left_semi").select("r")
+    late = late.unionByName(more).distinct().select("r.doc_id", "r.line_no")
 
     # later copies of a line: found by hash
-    copies = every.select("doc_id", "line_no", "t", "u").join(part("first"), ["t", "u"]).where("doc_id <> r.doc_id or line_no <> r.line_no").select("doc_id", "line_no")
+    copies = every.select("doc_id", "line_no", "t", "u").join(kept.where("first").select("t", "u", "r"), ["t", "u"]).where("doc_id <> r.doc_id or line_no <> r.line_no").select("doc_id", "line_no")
     return late.unionByName(copies)
 
 
-def _compared(pairs: DataFrame, distinct: DataFrame, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (t, u) and (ot, ou) with d, l of the first line and ok: whether the second is earlier and the word sets reach
     the similarity."""
     side = F.explode(F.array(F.struct(F.lit(True).alias("mine"), "t", "u"), F.struct(F.lit(False).alias("mine"), F.col("ot").alias("t"), F.col("ou").alias("u"))))
     sides = pairs.select(F.struct("t", "u", "ot", "ou").alias("pair"), side.alias("s")).select("pair", "s.mine", "s.t", "s.u")
-    # all columns of the distinct lines are used, so that the exchange that made the index serves here too
-    full = sides.join(distinct, ["t", "u"]).where("copies > 0")
+    full = sides.join(texts, ["t", "u"])
     of = lambda mine, c: F.max(F.when(F.col("mine") == mine, F.col(c)))
     both = full.groupBy("pair").agg(of(True, "r").alias("r"), of(False, "r").alias("before"), of(True, "line").alias("a"), of(False, "line").alias("b"))
-    both = both.select("pair.t", "pair.u", "r", "before", *(F.array_distinct(_words(F.col(c))).alias(c) for c in "ab"))
+    both = both.select("pair.t", "pair.u", "r", "before", *(_hashes(F.col(c)).alias(c) for c in "ab"))
     shared = F.size(F.array_intersect("a", "b"))
-    ok = (F.col("before") < F.col("r")) & (shared * 100 >= (F.size("a") + F.size("b") - shared) * percent)
+    ok = (F.col("before") < F.col("r")) & (shared * (100 + percent) >= (F.size("a") + F.size("b")) * percent)
     return both.select("t", "u", F.col("r.doc_id").alias("d"), F.col("r.line_no").alias("l"), ok.alias("ok"))
 
 

@@ -51,3 +51,24 @@ def test_entries_keep_their_fields_and_compress(spark):
         assert {(r.d, r.f_u, r.f_c, r.f_n) for r in own} == {(i, i * 85, min(i * 100, 255), n)}
         assert sorted(r.f_p for r in own) == list(range(n // 5 + 1))
     assert all(r.ucnp & 0xFFFFFFFF == 0 for r in got if r.t == 1)
+
+
+def test_rare_words_come_first(spark):
+    """The prefix of a line holds words that are rare over all texts, of those that the table cannot tell the longest."""
+    from pyspark.sql import functions as F
+
+    common = [f"everywhere{i}" for i in range(20)]
+    docs = spark.createDataFrame([(i, " ".join(common * 20 + [f"r{i}"])) for i in range(400)], "doc_id bigint, text string")
+    grades, _ = lines.rarity(docs)
+    keys = lambda *words: spark.range(1).select(lines._keys(F.lit(" ".join(words)), F.lit(grades).cast("array<tinyint>")).alias("k")).first().k
+    order = [keys(w)[0] for w in ("somewhatlonger", "rather", "r1", common[0])]
+    assert order == sorted(order) and keys("r1", common[0], "rather", "somewhatlonger") == order
+
+
+def test_the_search_reads_each_exchange_once_more_at_most(spark, monkeypatch):
+    """Lines are made distinct for the two sides of the search and for what is stored of it, and no window sorts all entries."""
+    seen, stored = [], lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df: (seen.append(df._jdf.queryExecution().optimizedPlan().toString()), stored(df))[1])
+    docs = spark.createDataFrame([(i, " ".join(f"w{i % 3}x{k}" for k in range(9))) for i in range(9)], "doc_id bigint, text string")
+    assert {r.doc_id for r in lines.removed_lines(docs).collect()} == set(range(3, 9))
+    assert seen[0].count("first(line") == 3 and "Window" not in seen[0]
